@@ -54,21 +54,21 @@ def split_kv(c, sep: str = ": ") -> Column:
     return F.when(k.isNotNull(), F.struct(k.alias("key"), v.alias("value")))
 
 
-def parse_code(c) -> Column:
-    """``inst/course`` -> struct(institution, course); null when there is no '/'."""
-    a, b = head_tail(c, "/")
+def parse_code(c, sep: str = "/") -> Column:
+    """``inst/course`` -> struct(institution, course); null when there is no ``sep``."""
+    a, b = head_tail(c, sep)
     return F.when(a.isNotNull(), F.struct(a.alias("institution"), b.alias("course")))
 
 
-def parse_code_name(c) -> Column:
+def parse_code_name(c, sep: str = " ") -> Column:
     """``code name`` split at the first space, no trim -> struct(code, name) or null."""
-    a, b = head_tail(c, " ")
+    a, b = head_tail(c, sep)
     return F.when(a.isNotNull(), F.struct(a.alias("code"), b.alias("name")))
 
 
-def parse_quantity(c, max_amount: int = 255) -> Column:
+def parse_quantity(c, max_amount: int = 255, sep: str = " ") -> Column:
     """``n unit`` with n a strict unsigned <= max_amount -> struct(amount, unit); any failure -> null."""
-    a, b = head_tail(c, " ")
+    a, b = head_tail(c, sep)
     amount = parse_uint(a, max_amount)
     return F.when(amount.isNotNull(), F.struct(amount.alias("amount"), b.alias("unit")))
 

@@ -138,16 +138,21 @@ def first_text(nodes: DataFrame, steps, alias: str = "value") -> DataFrame:
     return j.select("page_id", F.when(F.col("kind") == "text", F.col("text")).alias(alias))
 
 
+def label_kind(label: Column, kinds: dict, unknown: str = "unknown") -> Column:
+    """DOM4 dispatch: exact-text lookup of a label in a literal map, else ``unknown``."""
+    lookup = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(lookup[label], F.lit(unknown))
+
+
 def section_headers(nodes: DataFrame, header_path, kinds: dict) -> DataFrame:
     """DOM4: headers matched by ``header_path``; kind from an exact inner-HTML lookup, else 'unknown'."""
-    lookup = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])
     return select_path(nodes, header_path).select(
         "page_id",
         F.col("node_id").alias("header_id"),
         "parent_id",
         F.col("sib_no").alias("header_sib"),
         F.col("inner_html").alias("header"),
-        F.coalesce(lookup[F.col("inner_html")], F.lit("unknown")).alias("section"),
+        label_kind(F.col("inner_html"), kinds).alias("section"),
     )
 
 
@@ -185,23 +190,23 @@ def section_nodes(headers: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def token_stop(df: DataFrame, keys, pos: str, keep: Column) -> DataFrame:
-    """Per group, the first even position whose node fails ``keep`` (null when none)."""
-    even = (F.col(pos) % 2) == 0
-    return df.groupBy(*keys).agg(F.min(F.when(even & ~keep, F.col(pos))).alias("stop_pos"))
+def token_stop(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) -> DataFrame:
+    """Per group, the first token position (multiple of ``stride``) failing ``keep`` (null when none)."""
+    on_token = (F.col(pos) % stride) == 0
+    return df.groupBy(*keys).agg(F.min(F.when(on_token & ~keep, F.col(pos))).alias("stop_pos"))
 
 
-def take_tokens(df: DataFrame, keys, pos: str, keep: Column) -> DataFrame:
+def take_tokens(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) -> DataFrame:
     """DOM6: alternating token scan. Keep even positions, skip odd ones whatever they are,
     stop at the first even position failing ``keep``.  Implemented as an aggregate of the
     stop position joined back (aggregation is partial, so a huge group does not land whole
     in one task the way a window partition would)."""
     keys = list(keys)
-    stops = token_stop(df, keys, pos, keep)
-    even = (F.col(pos) % 2) == 0
-    out = df.filter(even).join(stops, keys, "inner")
+    stops = token_stop(df, keys, pos, keep, stride)
+    on_token = (F.col(pos) % stride) == 0
+    out = df.filter(on_token).join(stops, keys, "inner")
     return out.filter(F.col("stop_pos").isNull() | (F.col(pos) < F.col("stop_pos"))).withColumn(
-        "token_no", (F.col(pos) / 2).cast("int")
+        "token_no", F.floor(F.col(pos) / stride).cast("long")
     )
 
 

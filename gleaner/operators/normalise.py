@@ -55,12 +55,14 @@ def with_rowid(df: DataFrame, order_cols, out_col: str = "rowid") -> DataFrame:
 ENTRY_INSTITUTION_REQUIRED = ("institution_code", "institution_name", "address", "phone_numbers", "email_addresses")
 
 
-def build_catalogue(entries: DataFrame, optional: DataFrame, mandatory: DataFrame, order_cols=("seq", "page_id")) -> dict:
+def build_catalogue(entries: DataFrame, optional: DataFrame, mandatory: DataFrame, order_cols=("seq", "page_id"),
+                    existing_facts: DataFrame | None = None) -> dict:
     """NRM2-NRM9: entries (one row per page) + flat exam rows -> the catalogue tables.
 
     Order per page follows the loader: institution, fact, duration unit, duration, CNAEF,
     optional exams, mandatory exams.  A page whose fact pair already exists loses all
-    its dependants (NRM3) but its institution still counted (NRM2).
+    its dependants (NRM3) but its institution still counted (NRM2).  ``existing_facts``
+    (incremental runs) are pairs stored by earlier batches: they win over this batch.
     """
     order_cols = list(order_cols)
     passing = require(entries, ENTRY_INSTITUTION_REQUIRED)
@@ -81,8 +83,11 @@ def build_catalogue(entries: DataFrame, optional: DataFrame, mandatory: DataFram
     winners = first_wins(
         with_ects.select("institution_code", "course_code", "page_id", *[c for c in order_cols if c != "page_id"]),
         ["institution_code", "course_code"], order_cols, ["page_id"],
-    ).select("page_id")
-    won = with_ects.join(winners, "page_id", "left_semi")
+    )
+    if existing_facts is not None:
+        stored = existing_facts.select(F.col("institution").alias("institution_code"), F.col("course").alias("course_code"))
+        winners = winners.join(stored, ["institution_code", "course_code"], "left_anti")
+    won = with_ects.join(winners.select("page_id"), "page_id", "left_semi")
 
     course_institution = won.select(
         F.col("ects").cast("int").alias("ects"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, I = T.StringType(), T.IntegerType()
@@ -34,10 +35,22 @@ WRITE_ORDER = (
 )
 
 
+def _relaxed(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """SNK3: declared columns, order, types and nullability (``DataFrame.to`` casts and
-    reorders; a null in a NOT NULL column fails at run time)."""
-    return df.to(CATALOGUE_SCHEMAS[table])
+    """SNK3: declared columns, order and types (``DataFrame.to`` casts and reorders, and
+    fails on a missing column); a null in a NOT NULL column fails the write at run time."""
+    schema = CATALOGUE_SCHEMAS[table]
+    out = df.to(_relaxed(schema))
+    for f in schema.fields:
+        if not f.nullable:
+            c = F.col(f.name)
+            out = out.withColumn(
+                f.name, F.when(c.isNull(), F.raise_error(F.lit(f"NOT NULL violated: {table}.{f.name}")).cast(f.dataType)).otherwise(c)
+            )
+    return out
 
 
 def write_catalogue(tables: dict, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
