@@ -19,16 +19,28 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it several times in ``body`` (a one-element
+    ``transform``).  Without this the optimizer inlines a nested parse into every
+    CASE branch that mentions it, evaluating the same split/regex many times."""
+    return F.transform(F.array(value), body)[0]
+
+
 def split_once(c, sep: str) -> Column:
     """Array of 1 or 2 items: split at the first literal ``sep``."""
     return F.split(_col(c), "\\Q" + sep + "\\E", 2)
 
 
+def _split2(c, sep: str, build) -> Column:
+    """``build(head, tail)`` over one split at the first ``sep``; tail is null when absent."""
+    return _let(split_once(c, sep), lambda p: build(p[0], F.try_element_at(p, F.lit(2))))
+
+
 def head_tail(c, sep: str) -> tuple[Column, Column]:
     """(head, tail) of a split at the first ``sep``; both null when absent."""
     parts = split_once(c, sep)
-    ok = F.size(parts) == 2
-    return F.when(ok, parts[0]), F.when(ok, parts[1])
+    tail = F.try_element_at(parts, F.lit(2))
+    return F.when(tail.isNotNull(), parts[0]), tail
 
 
 def utrim(c) -> Column:
@@ -42,41 +54,42 @@ def strip_ws(c) -> Column:
 
 
 def parse_uint(c, max_value: int) -> Column:
-    """Strict unsigned parse: optional '+', ASCII digits only, value <= max_value; else null."""
+    """Strict unsigned parse: optional '+', ASCII digits only, value <= max_value; else null.
+    (A bare cast would accept ``'6 '`` and ``'-0'``, which a strict unsigned parse rejects.)"""
     c = _col(c)
-    as_dec = F.when(c.rlike(_STRICT_UINT), F.regexp_replace(c, r"^\+", "").try_cast("decimal(38,0)"))
-    return F.when(as_dec <= F.lit(max_value), as_dec.cast("int"))
+    as_dec = F.when(c.rlike(_STRICT_UINT), c).try_cast("decimal(38,0)")
+    return _let(as_dec, lambda d: F.when(d <= F.lit(max_value), d.cast("int")))
 
 
 def split_kv(c, sep: str = ": ") -> Column:
     """struct(key, value) split at the first ``sep``; null when ``sep`` is absent."""
-    k, v = head_tail(c, sep)
-    return F.when(k.isNotNull(), F.struct(k.alias("key"), v.alias("value")))
+    return _split2(c, sep, lambda h, t: F.when(t.isNotNull(), F.struct(h.alias("key"), t.alias("value"))))
 
 
 def parse_code(c, sep: str = "/") -> Column:
     """``inst/course`` -> struct(institution, course); null when there is no ``sep``."""
-    a, b = head_tail(c, sep)
-    return F.when(a.isNotNull(), F.struct(a.alias("institution"), b.alias("course")))
+    return _split2(c, sep, lambda h, t: F.when(t.isNotNull(), F.struct(h.alias("institution"), t.alias("course"))))
 
 
 def parse_code_name(c, sep: str = " ") -> Column:
     """``code name`` split at the first space, no trim -> struct(code, name) or null."""
-    a, b = head_tail(c, sep)
-    return F.when(a.isNotNull(), F.struct(a.alias("code"), b.alias("name")))
+    return _split2(c, sep, lambda h, t: F.when(t.isNotNull(), F.struct(h.alias("code"), t.alias("name"))))
 
 
 def parse_quantity(c, max_amount: int = 255, sep: str = " ") -> Column:
     """``n unit`` with n a strict unsigned <= max_amount -> struct(amount, unit); any failure -> null."""
-    a, b = head_tail(c, sep)
-    amount = parse_uint(a, max_amount)
-    return F.when(amount.isNotNull(), F.struct(amount.alias("amount"), b.alias("unit")))
+    return _split2(
+        c, sep,
+        lambda h, t: _let(
+            parse_uint(h, max_amount),
+            lambda a: F.when(t.isNotNull() & a.isNotNull(), F.struct(a.alias("amount"), t.alias("unit"))),
+        ),
+    )
 
 
 def parse_exam(c) -> Column:
     """``code name`` split at the first space, both Unicode-trimmed; no space -> null."""
-    a, b = head_tail(c, " ")
-    return F.when(a.isNotNull(), F.struct(utrim(a).alias("code"), utrim(b).alias("name")))
+    return _split2(c, " ", lambda h, t: F.when(t.isNotNull(), F.struct(utrim(h).alias("code"), utrim(t).alias("name"))))
 
 
 def strip_prefix(c, prefix: str) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.operators.htmltree import parse_html
+from gleaner.session import spread
 
 NODE_SCHEMA = T.StructType(
     [
@@ -84,6 +85,7 @@ def dom_nodes(
     id_col: str = "page_id",
     html_col: str = "html",
     inner_html_tags: Iterable[str] = DEFAULT_INNER_HTML_TAGS,
+    spread_input: bool = True,
 ) -> DataFrame:
     """DOM1: pages(id, html) -> one row per node (element, text, comment, document root).
 
@@ -91,6 +93,8 @@ def dom_nodes(
     call, pushdown stops at the Python boundary.
     """
     src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col).alias(html_col))
+    if spread_input:
+        src = spread(src)
     return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags)), NODE_SCHEMA)
 
 

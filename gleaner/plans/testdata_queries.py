@@ -50,7 +50,7 @@ from gleaner.operators.normalise import drop_failed, first_wins, require, with_r
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import equi_join
 from gleaner.presets import ExamPreset
-from gleaner.session import checkpoint_dir
+from gleaner.session import checkpoint_dir, spread
 from gleaner.sources.pages import CP1252_HIGH, course_url, decode_body, with_charset
 from gleaner.sources.selection import read_selection
 from gleaner.sources.sinks import conform, write_catalogue
@@ -230,7 +230,7 @@ SELECT doc_id, translate(text, {_C1}, {_CP}) AS decoded
 FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\xff]')""")
 def q_charset_decode(spark, sf):
     """SRC4 + SRC5: single-byte documents as text/html bodies -> windows-1252 decode."""
-    d = _t(spark, sf, "documents").filter(~F.col("text").rlike(r"[^\x00-\xff]"))
+    d = spread(_t(spark, sf, "documents")).filter(~F.col("text").rlike(r"[^\x00-\xff]"))
     pages = d.select("doc_id", F.encode("text", "ISO-8859-1").alias("body"), F.lit("text/html").alias("content_type"))
     return decode_body(with_charset(pages)).select("doc_id", F.col("html").alias("decoded"))
 
@@ -434,7 +434,7 @@ SELECT l.doc_id, CAST(l.line_no AS BIGINT) AS line_no, {_sql_utrim('l.line')} AS
 FROM l JOIN s ON l.doc_id = s.doc_id WHERE s.stop IS NULL OR l.line_no < s.stop""")
 def q_address_lines(spark, sf):
     """CON1 + CON5: leading run of non-blank lines, each Unicode-trimmed."""
-    d = _t(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    d = spread(_t(spark, sf, "documents")).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     toks = take_tokens(d, ["doc_id"], "line_no", utrim("line") != "", stride=1)
     return toks.select("doc_id", F.col("line_no").cast("long").alias("line_no"), utrim("line").alias("line"))
 
@@ -448,7 +448,7 @@ SELECT doc_id, CAST(idx AS BIGINT) AS idx, regexp_replace(ph, '{_WS}', '', 'g')
          unnest(range(0, len(regexp_extract_all(text, '{_PHONE_RE}', 0)))) AS idx FROM documents)""")
 def q_phones(spark, sf):
     """CON2 + CON5: phone numbers with every Unicode whitespace removed, in text order."""
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents"))
     items = F.transform(F.regexp_extract_all("text", F.lit(_PHONE_RE), 0), lambda x: strip_ws(x))
     return d.select("doc_id", F.posexplode(items).alias("idx", "phone")).select(
         "doc_id", F.col("idx").cast("long").alias("idx"), "phone")
@@ -463,7 +463,7 @@ SELECT doc_id, CAST(idx AS BIGINT) AS idx, {_sql_utrim('m')} AS email FROM (
          unnest(range(0, len(regexp_extract_all(text, '{_MAIL_RE}', 0)))) AS idx FROM documents)""")
 def q_emails(spark, sf):
     """CON4: addresses in text order, trimmed."""
-    d = _t(spark, sf, "documents")
+    d = spread(_t(spark, sf, "documents"))
     items = F.transform(F.regexp_extract_all("text", F.lit(_MAIL_RE), 0), lambda x: utrim(x))
     return d.select("doc_id", F.posexplode(items).alias("idx", "email")).select(
         "doc_id", F.col("idx").cast("long").alias("idx"), "email")

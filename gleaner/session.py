@@ -56,3 +56,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never ``localCheckpoint``)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the input over the cluster's cores *only* when it arrives in fewer
+    partitions than that (a single-row-group file); used before CPU-heavy per-row stages
+    (HTML parsing, whole-text regex).  On a large table scan this is a no-op."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
