@@ -71,10 +71,14 @@ def selected_course_pages(pages: DataFrame, selection: DataFrame, preset: CrawlP
 def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intended",
                   sections: SectionPreset = SectionPreset(), fields: FieldPreset = FieldPreset(),
                   exams: ExamPreset = ExamPreset()) -> dict:
-    """Course pages -> entries (one row per page), exam rows and quarantine tables."""
-    n = nodes.join(course_pages.select("page_id"), "page_id", "left_semi")
-    headers = section_headers(n, sections.header_path, sections.kinds)
-    secn = section_nodes(last_sections(headers, PARSED_SECTIONS), n)
+    """Course pages -> entries (one row per page), exam rows and quarantine tables.
+
+    The node table is never re-shuffled as a whole: selectors run as filters on it and
+    only their (small) results are restricted to the course pages; the section nodes
+    feed four parsers, so they are materialised once."""
+    course_ids = course_pages.select("page_id")
+    headers = section_headers(nodes, sections.header_path, sections.kinds).join(course_ids, "page_id", "left_semi")
+    secn = cut_lineage(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes))
 
     con = contacts(secn.filter(F.col("section") == "contacts"))
     chars = characteristics(secn.filter(F.col("section") == "characteristics"), fields)
@@ -82,8 +86,8 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     tokens = take_tokens(ex_sec, ["page_id", "header_id"], "pos", F.col("kind") == "text").select("page_id", "token_no", "text")
     optional, mandatory = exam_requirements(tokens, ["page_id"], "token_no", "text", mode, exams)
 
-    course_name = first_text(n, sections.course_name_path, "course_name")
-    institution_name = first_text(n, sections.institution_name_path, "institution_name")
+    course_name = first_text(nodes, sections.course_name_path, "course_name").join(course_ids, "page_id", "left_semi")
+    institution_name = first_text(nodes, sections.institution_name_path, "institution_name").join(course_ids, "page_id", "left_semi")
 
     seq = F.col("seq") if "seq" in course_pages.columns else F.col("page_id")
     entries = (
@@ -108,6 +112,10 @@ def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, m
     nodes = page_nodes(pages)
     course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages, nodes)
     parsed = parse_entries(course_pages, nodes, mode)
+    # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
+    # tables and their checks read it, so it is written once to the checkpoint folder
+    for k in ("entries", "optional", "mandatory"):
+        parsed[k] = cut_lineage(parsed[k])
     tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"])
     return {
         "tables": tables,
