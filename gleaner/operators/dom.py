@@ -26,6 +26,7 @@ NODE_SCHEMA = T.StructType(
         T.StructField("sib_no", T.IntegerType(), False),
         T.StructField("depth", T.IntegerType(), False),
         T.StructField("n_children", T.IntegerType(), False),
+        T.StructField("tag_ord", T.IntegerType(), True),
         T.StructField("kind", T.StringType(), False),
         T.StructField("name", T.StringType(), True),
         T.StructField("text", T.StringType(), True),
@@ -42,6 +43,7 @@ _ARROW_SCHEMA = pa.schema(
         pa.field("sib_no", pa.int32(), False),
         pa.field("depth", pa.int32(), False),
         pa.field("n_children", pa.int32(), False),
+        pa.field("tag_ord", pa.int32()),
         pa.field("kind", pa.string(), False),
         pa.field("name", pa.string()),
         pa.field("text", pa.string()),

@@ -188,12 +188,21 @@ def parse_html(html: str, inner_html_tags=frozenset()) -> dict:
                 _serialize_children(b, i, out)
                 inner[i] = "".join(out)
     n_children = [len(ch) for ch in b.children]
+    # ordinal of each element among the page's elements with the same tag (document order)
+    tag_ord = [None] * n
+    seen: dict = {}
+    for i in range(n):
+        if b.kind[i] == "element":
+            k = b.name[i]
+            tag_ord[i] = seen.get(k, 0)
+            seen[k] = tag_ord[i] + 1
     return {
         "node_id": list(range(n)),
         "parent_id": b.parent,
         "sib_no": sib_no,
         "depth": depth,
         "n_children": n_children,
+        "tag_ord": tag_ord,
         "kind": b.kind,
         "name": b.name,
         "text": b.text,

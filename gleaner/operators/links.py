@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators.ordering import ordinal_in_group
@@ -20,14 +20,12 @@ _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]+)"
 
 def select_links(nodes: DataFrame, contains: Iterable[str]) -> DataFrame:
     """LNK1: ``<a>`` elements anywhere whose href contains *all* given substrings.
-    Returns (page_id, node_id, ord, href) where ``ord`` numbers all anchors with an href of
-    the page in document order (before the substring filter)."""
-    a = nodes.filter((F.col("kind") == "element") & (F.col("name") == "a") & F.col("attrs")["href"].isNotNull())
-    a = a.select("page_id", "node_id", F.col("attrs")["href"].alias("href"))
-    cond = F.lit(True)
+    Returns (page_id, node_id, ord, href) where ``ord`` is the anchor's position among the
+    page's ``<a>`` elements in document order (numbered by the parser, so no shuffle)."""
+    cond = (F.col("kind") == "element") & (F.col("name") == "a") & F.col("attrs")["href"].isNotNull()
     for s in contains:
-        cond = cond & F.col("href").contains(s)
-    return a.withColumn("ord", F.rank().over(Window.partitionBy("page_id").orderBy("node_id")) - 1).filter(cond)
+        cond = cond & F.col("attrs")["href"].contains(s)
+    return nodes.filter(cond).select("page_id", "node_id", F.col("tag_ord").alias("ord"), F.col("attrs")["href"].alias("href"))
 
 
 def split_href(c) -> tuple[Column, Column]:

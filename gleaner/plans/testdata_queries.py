@@ -50,7 +50,7 @@ from gleaner.operators.normalise import drop_failed, first_wins, require, with_r
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import equi_join
 from gleaner.presets import ExamPreset
-from gleaner.session import checkpoint_dir, spread
+from gleaner.session import checkpoint_dir, cut_lineage, spread
 from gleaner.sources.pages import CP1252_HIGH, course_url, decode_body, with_charset
 from gleaner.sources.selection import read_selection
 from gleaner.sources.sinks import conform, write_catalogue
@@ -260,7 +260,7 @@ SELECT page_id, replace(replace(replace(replace(replace(
 FROM pages WHERE regexp_matches(html, '<article><h1>')""")
 def q_first_child_text(spark, sf):
     """DOM2 + DOM3: ``article > h1`` first match, first child text."""
-    nodes = dom_nodes(_t(spark, sf, "pages"))
+    nodes = cut_lineage(dom_nodes(_t(spark, sf, "pages")))
     return first_text(nodes, [("article", None, ()), ("h1", None, ())], "title")
 
 
@@ -288,7 +288,7 @@ def q_unknown_labels(spark, sf):
 def q_section_siblings(spark, sf):
     """DOM5: the paragraphs following each ``article > h1`` inside the article (rows-only:
     page bodies have unclosed tags, so only a tree builder gives sibling positions)."""
-    nodes = dom_nodes(_t(spark, sf, "pages"))
+    nodes = cut_lineage(dom_nodes(_t(spark, sf, "pages")))
     h = select_path(nodes, [("article", None, ()), ("h1", None, ())]).select(
         "page_id", F.col("node_id").alias("header_id"), "parent_id", F.col("sib_no").alias("header_sib"),
         F.lit("title").alias("section"),
@@ -476,7 +476,7 @@ SELECT page_id, string_agg(' ' || t, '' ORDER BY ord) AS link_text FROM (
 GROUP BY page_id""")
 def q_join_list(spark, sf):
     """CON6: a page's link texts as one ' a b' string, in document order."""
-    nodes = dom_nodes(_t(spark, sf, "pages"))
+    nodes = cut_lineage(dom_nodes(_t(spark, sf, "pages")))
     anchors = nodes.filter((F.col("kind") == "element") & (F.col("name") == "a")).select(
         "page_id", F.col("node_id").alias("a_id"))
     texts = nodes.filter((F.col("kind") == "text") & (F.col("sib_no") == 0)).select(
@@ -779,7 +779,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """pages -> DOM1 -> LNK1 -> LNK3 -> NRM1 -> JON1: one row per (page, link) with the
     resolved target, its host, and the first page (lowest id, then position) linking to it."""
     pages = _t(spark, sf, "pages")
-    nodes = dom_nodes(pages)
+    nodes = dom_nodes(pages)  # one consumer: no need to materialise
     links = select_links(nodes, ["/"]).join(pages.select("page_id", F.col("url").alias("base")), "page_id")
     links = links.select("page_id", F.col("ord").cast("long").alias("ord"), "href",
                          resolve_link("base", "href").alias("target"))
