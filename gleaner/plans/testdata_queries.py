@@ -98,6 +98,20 @@ def query(name: str, sql: str | None = None):
 _ANCHOR_SQL = """regexp_extract_all(html, '<a href="([^"]*)"', 1)"""
 
 
+@query("q_dom_tag_counts", """
+SELECT page_id, lower(tag) AS name, count(*) AS n FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages)
+GROUP BY 1, 2
+UNION ALL
+SELECT page_id, '#comment' AS name, CAST(len(regexp_extract_all(html, '<!--', 0)) AS BIGINT) AS n
+FROM pages WHERE len(regexp_extract_all(html, '<!--', 0)) > 0""")
+def q_dom_tag_counts(spark, sf):
+    """DOM1: the node table itself - elements per tag and comments per page."""
+    nodes = dom_nodes(_t(spark, sf, "pages")).filter(F.col("kind").isin("element", "comment"))
+    name = F.when(F.col("kind") == "comment", F.lit("#comment")).otherwise(F.col("name"))
+    return nodes.groupBy("page_id", name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("q_link_select", f"""
 SELECT page_id, CAST(ord AS BIGINT) AS ord, href FROM (
   SELECT page_id, unnest({_ANCHOR_SQL}) AS href,
