@@ -100,6 +100,11 @@ def dom_nodes(
     return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags)), NODE_SCHEMA)
 
 
+def parse_errors(nodes: DataFrame) -> DataFrame:
+    """FLT1 for the parse stage: pages the HTML parser failed on (page_id, error)."""
+    return nodes.filter(F.col("kind") == "error").select("page_id", F.col("text").alias("error"))
+
+
 # --------------------------------------------------------------------------- selectors
 
 

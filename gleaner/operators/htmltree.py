@@ -150,27 +150,44 @@ def _escape_attr(s: str) -> str:
 
 
 def _serialize_children(b: _TreeBuilder, nid: int, out: list) -> None:
-    for c in b.children[nid]:
-        k = b.kind[c]
-        if k == "text":
-            parent = b.name[nid]
-            out.append(b.text[c] if parent in ("script", "style") else _escape_text(b.text[c]))
-        elif k == "comment":
-            out.append("<!--" + b.text[c] + "-->")
-        else:
-            name = b.name[c]
-            attrs = "".join(f' {k}="{_escape_attr(v)}"' for k, v in b.attrs[c].items())
-            out.append(f"<{name}{attrs}>")
-            if name not in VOID:
-                _serialize_children(b, c, out)
-                out.append(f"</{name}>")
+    """Inner HTML of ``nid`` (iterative: deeply nested markup cannot exhaust the stack)."""
+    stack = [("kids", nid)]
+    while stack:
+        op, x = stack.pop()
+        if op == "raw":
+            out.append(x)
+            continue
+        parent_name = b.name[x]
+        items = []
+        for c in b.children[x]:
+            k = b.kind[c]
+            if k == "text":
+                items.append(("raw", b.text[c] if parent_name in ("script", "style") else _escape_text(b.text[c])))
+            elif k == "comment":
+                items.append(("raw", "<!--" + b.text[c] + "-->"))
+            else:
+                name = b.name[c]
+                attrs = "".join(f' {k}="{_escape_attr(v)}"' for k, v in b.attrs[c].items())
+                items.append(("raw", f"<{name}{attrs}>"))
+                if name not in VOID:
+                    items.append(("kids", c))
+                    items.append(("raw", f"</{name}>"))
+        stack.extend(reversed(items))
 
 
 def parse_html(html: str, inner_html_tags=frozenset()) -> dict:
-    """Parse one page into column lists (node_id is the pre-order index, root = 0)."""
+    """Parse one page into column lists (node_id is the pre-order index, root = 0).
+
+    A page the parser cannot handle yields a single root row of kind ``error`` whose text
+    is the error, so one bad page is quarantined (FLT1) instead of failing the task."""
     b = _TreeBuilder()
-    b.feed(html or "")
-    b.close()
+    try:
+        b.feed(html or "")
+        b.close()
+    except Exception as e:  # noqa: BLE001 - any parser failure is data, not a job failure
+        b = _TreeBuilder()
+        b.kind[0] = "error"
+        b.text[0] = f"{type(e).__name__}: {e}"[:1000]
     n = len(b.kind)
     sib_no = [0] * n
     depth = [0] * n

@@ -132,3 +132,39 @@ def test_cp1252_table_matches_codec():
 
     for b, ch in CP1252_HIGH.items():
         assert bytes([b]).decode("cp1252") == ch
+
+
+def test_html_tree_shapes():
+    from gleaner.operators.htmltree import parse_html
+
+    t = parse_html("<div><p>a<p>b</div><br/>x<!--c--><ul><li>1<li>2</ul>", frozenset())
+    rows = list(zip(t["node_id"], t["parent_id"], t["sib_no"], t["kind"], t["name"], t["text"]))
+    kids = {}
+    for nid, par, sib, kind, name, text in rows:
+        kids.setdefault(par, []).append((sib, name or text))
+    # implied </p>: the two paragraphs are siblings; void <br/>; text after it; comment kept
+    assert [x[1] for x in kids[1]] == ["p", "p"]
+    assert [x[1] for x in kids[0]] == ["div", "br", "x", "c", "ul"]
+    ul = [r[0] for r in rows if r[4] == "ul"][0]
+    assert [x[1] for x in kids[ul]] == ["li", "li"]
+    assert t["tag_ord"][[r[0] for r in rows if r[4] == "p"][1]] == 1
+
+
+def test_html_deep_heading_and_inner_html():
+    from gleaner.operators.htmltree import parse_html
+
+    deep = "<h2>" + "<span>" * 3000 + "x" + "</span>" * 3000 + "</h2>"
+    t = parse_html(deep, frozenset(["h2"]))
+    h2 = t["name"].index("h2")
+    assert t["inner_html"][h2].startswith("<span><span>") and t["inner_html"][h2].count("</span>") == 3000
+    t = parse_html("<h2>Guia<br>&nbsp;</h2>", frozenset(["h2"]))
+    assert t["inner_html"][t["name"].index("h2")] == "Guia<br>&nbsp;"
+
+
+def test_parse_errors_quarantine(spark):
+    from gleaner.operators.dom import dom_nodes, parse_errors
+
+    df = spark.createDataFrame([(1, "<p>ok</p>"), (2, None)], "page_id long, html string")
+    n = dom_nodes(df)
+    assert parse_errors(n).count() == 0
+    assert n.filter("page_id = 2").count() == 1
