@@ -23,6 +23,7 @@ from gleaner.functions.text import (
     strip_ws,
     utrim,
 )
+from gleaner.functions.lists import non_empty
 from gleaner.operators.dom import take_tokens, token_stop
 from gleaner.presets import ContactPreset, FieldPreset
 
@@ -98,37 +99,35 @@ def unknown_fields(section: DataFrame, preset: FieldPreset = FieldPreset()) -> D
 
 
 def _ordered_flatten(items: Column, order: Column) -> Column:
-    """Aggregate: concatenate per-row arrays in ``order`` (per page, bounded by the page)."""
-    return F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), items.alias("v")))), lambda x: x["v"]))
+    """Aggregate: concatenate per-row arrays in ``order``; rows where ``items`` is null are
+    skipped (the group is one section of one page)."""
+    ordered = F.array_sort(F.collect_list(F.when(items.isNotNull(), F.struct(order.alias("o"), items.alias("v")))))
+    return non_empty(F.flatten(F.transform(ordered, lambda x: x["v"])))
 
 
 def contacts(section: DataFrame, preset: ContactPreset = ContactPreset()) -> DataFrame:
     """CON1-CON4: address lines (leading text run, trimmed), then from the node after the
     address-ending node to the end of the parent: ``Tel:`` lines -> phone numbers (whitespace
-    removed), ``Fax:`` ignored, ``mailto:`` anchors -> e-mail addresses."""
+    removed), ``Fax:`` lines recognised and dropped, ``mailto:`` anchors -> e-mail addresses.
+
+    One aggregate finds where the address run stops, one join brings it back, and one
+    grouped aggregate builds the three lists (absent, never empty)."""
     keys = ["page_id", "header_id"]
     is_text = F.col("kind") == "text"
-    addr = take_tokens(section, keys, "pos", is_text).groupBy(*keys).agg(
-        _ordered_flatten(F.array(utrim("text")), F.col("token_no")).alias("address")
-    )
-    stop = token_stop(section, keys, "pos", is_text)
-    rest = section.join(stop, keys, "inner").filter(F.col("stop_pos").isNotNull() & (F.col("pos") > F.col("stop_pos")))
+    j = section.join(token_stop(section, keys, "pos", is_text), keys, "inner")
+    stop, pos = F.col("stop_pos"), F.col("pos")
+    in_address = ((pos % 2) == 0) & (stop.isNull() | (pos < stop))
+    after_address = stop.isNotNull() & (pos > stop)
 
     tel = strip_prefix("text", preset.phone_prefix)
+    is_fax = F.col("text").startswith(preset.fax_prefix)
     phone_items = F.transform(split_list(tel, preset.phone_separator), lambda x: utrim(strip_ws(x)))
-    phones = rest.filter(is_text & tel.isNotNull()).groupBy(*keys).agg(
-        _ordered_flatten(phone_items, F.col("pos")).alias("phone_numbers")
-    )
-
     mail = strip_prefix(F.col("attrs")["href"], preset.mail_prefix)
     mail_items = F.transform(split_list(mail, preset.mail_separator), lambda x: utrim(x))
-    emails = rest.filter((F.col("kind") == "element") & (F.col("name") == "a") & mail.isNotNull()).groupBy(*keys).agg(
-        _ordered_flatten(mail_items, F.col("pos")).alias("email_addresses")
-    )
-    heads = section.select(*keys).distinct()
-    return (
-        heads.join(addr, keys, "left")
-        .join(phones, keys, "left")
-        .join(emails, keys, "left")
-        .drop("header_id")
-    )
+    is_mail_link = (F.col("kind") == "element") & (F.col("name") == "a") & mail.isNotNull()
+
+    return j.groupBy(*keys).agg(
+        _ordered_flatten(F.when(in_address, F.array(utrim("text"))), pos).alias("address"),
+        _ordered_flatten(F.when(after_address & is_text & tel.isNotNull() & ~is_fax, phone_items), pos).alias("phone_numbers"),
+        _ordered_flatten(F.when(after_address & is_mail_link, mail_items), pos).alias("email_addresses"),
+    ).drop("header_id")

@@ -1,10 +1,10 @@
 """End-to-end plan: page snapshots -> frontier -> course pages -> entries -> catalogue.
 
-Stages (each a lazily planned DataFrame; the node table is materialised once in
-the shared checkpoint folder because four consumers read it):
+Stages (each a lazily planned DataFrame; the node table of the course pages is
+materialised once in the shared checkpoint folder because several consumers read it):
 
-  pages --DOM1--> nodes --LNK1/3/5--> course pages
-  nodes --DOM2-8, CHR, CON, EXM--> entries + exam rows
+  pages --LNK5 (per hop: DOM1 on the frontier, LNK1, LNK3)--> course pages
+  course pages --DOM1--> nodes --DOM2-8, CHR, CON, EXM--> entries + exam rows
   entries --FLT/NRM--> tables --INT--> violations, --JON3--> expanded view
 """
 
@@ -40,26 +40,29 @@ def page_nodes(pages: DataFrame, materialise: bool = True) -> DataFrame:
     return cut_lineage(nodes) if materialise else nodes
 
 
-def _hop(pages: DataFrame, nodes: DataFrame, frontier: DataFrame, contains) -> DataFrame:
-    """One crawl hop: links of the frontier pages -> resolved URLs -> pages."""
-    links = select_links(nodes.join(frontier.select("page_id"), "page_id", "left_semi"), contains)
+def _hop(pages: DataFrame, frontier: DataFrame, contains) -> DataFrame:
+    """One crawl hop: parse only the frontier pages, select and resolve their links,
+    and return (page_id, url) of the snapshot pages they point at."""
+    fnodes = dom_nodes(frontier.select("page_id", "html"))
+    links = select_links(fnodes, contains)
     resolved = links.join(frontier.select("page_id", F.col("url").alias("base")), "page_id", "inner").select(
         resolve_link("base", "href").alias("url")
     )
-    return pages.join(resolved.distinct(), "url", "left_semi")
+    return pages.select("page_id", "url").join(resolved.distinct(), "url", "left_semi")
 
 
-def crawl_course_pages(pages: DataFrame, nodes: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
-    """LNK5 whole-guide mode: seed -> letter pages -> course pages (each URL once)."""
-    seed = pages.filter(F.col("url") == F.lit(preset.seed_url))
-    visited = seed.select("url")
-    frontier = seed
+def crawl_course_pages(pages: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
+    """LNK5 whole-guide mode: seed -> letter pages -> course pages (each URL once).
+
+    Like the crawl itself, a hop only parses the pages reached by the previous hop; the
+    frontier is a URL list, materialised so each hop plans from a flat input."""
+    frontier = pages.filter(F.col("url") == F.lit(preset.seed_url))
+    visited = cut_lineage(frontier.select("url"))
     for contains in preset.hops:
-        # the frontier is a small URL list: materialise it so each hop plans from a flat input
-        nxt = cut_lineage(_hop(pages, nodes, frontier, contains).join(visited, "url", "left_anti").select("page_id", "url"))
+        nxt = cut_lineage(_hop(pages, frontier, contains).join(visited, "url", "left_anti"))
         visited = cut_lineage(visited.unionByName(nxt.select("url")))
-        frontier = nxt
-    return pages.join(frontier.select("page_id"), "page_id", "left_semi")
+        frontier = pages.join(nxt.select("page_id"), "page_id", "left_semi")
+    return frontier
 
 
 def selected_course_pages(pages: DataFrame, selection: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
@@ -108,9 +111,10 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
 
 
 def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, mode: str = "intended") -> dict:
-    """Full batch run: returns tables, violations and the expanded view."""
-    nodes = page_nodes(pages)
-    course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages, nodes)
+    """Full batch run: returns tables, violations and the expanded view.  Only course
+    pages (selected, or reached by the crawl) are turned into the node table."""
+    course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages)
+    nodes = page_nodes(course_pages)
     parsed = parse_entries(course_pages, nodes, mode)
     # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
     # tables and their checks read it, so it is written once to the checkpoint folder
