@@ -179,7 +179,11 @@ def last_sections(headers: DataFrame, sections: Iterable[str]) -> DataFrame:
 
 def section_nodes(headers: DataFrame, nodes: DataFrame) -> DataFrame:
     """DOM5: the following siblings of each header up to the end of the parent, with
-    ``pos`` = 0 for the node right after the header."""
+    ``pos`` = 0 for the node right after the header.
+
+    Sections are not cut at the next header, so the output is headers x following siblings:
+    pass at most one header per (page, section kind) - ``last_sections`` - which is also the
+    replace rule of repeated sections; the output is then linear in the page size."""
     n = nodes.select(
         F.col("page_id").alias("_np"),
         F.col("parent_id").alias("_npar"),

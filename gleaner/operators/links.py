@@ -35,19 +35,29 @@ def split_href(c) -> tuple[Column, Column]:
     return parts[0], F.when(F.size(parts) == 2, parts[1])
 
 
-def _encode_segment(seg: Column) -> Column:
-    # the pushed path is one segment: separators inside it are percent-encoded
-    out = seg
-    for ch, enc in (("%", "%25"), ("/", "%2F"), ("\\", "%5C"), (" ", "%20"), ('"', "%22"), ("#", "%23"),
-                    ("<", "%3C"), (">", "%3E"), ("`", "%60"), ("{", "%7B"), ("}", "%7D")):
-        out = F.replace(out, F.lit(ch), F.lit(enc)) if ch != "%" else out
-    return out
+# characters a pushed path segment / a set query keep as they are (printable ASCII minus the
+# encode set); everything else, including non-ASCII, becomes %XX of its UTF-8 bytes
+_SEGMENT_KEEP = r"^[!$%&'()*+,\-.0-9:;=@A-Z\[\]^_a-z|~]$"
+_QUERY_KEEP = r"^[!$%&()*+,\-./0-9:;=?@A-Z\[\\\]^_`a-z{|}~]$"
+
+
+def _pct_encode(c: Column, keep_regex: str) -> Column:
+    """Percent-encode every code point not matched by ``keep_regex`` (UTF-8 bytes)."""
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)
+    enc = F.transform(
+        chars,
+        lambda ch: F.when(ch.rlike(keep_regex), ch).otherwise(
+            F.regexp_replace(F.hex(F.encode(ch, "UTF-8")), "(..)", "%$1")
+        ),
+    )
+    return F.when(c.isNotNull(), F.array_join(enc, ""))
 
 
 def resolve_link(base, href) -> Column:
-    """LNK3: drop the base URL's last path segment, push the href path as one segment,
-    replace the query with the href's query (removed when it has none), keep the base
-    fragment.  Narrower than RFC 3986 on purpose: rooted/absolute hrefs are not resolved."""
+    """LNK3: drop the base URL's last path segment, push the href path as one segment
+    (separators and non-ASCII percent-encoded; '.' and '..' push nothing), replace the
+    query with the href's query (removed when it has none), keep the base fragment.
+    Narrower than RFC 3986 on purpose: rooted/absolute hrefs are not resolved."""
     base = F.col(base) if isinstance(base, str) else base
     href = F.col(href) if isinstance(href, str) else href
     # a bare host has path "/" -> make that explicit so the pattern always finds a prefix
@@ -56,10 +66,12 @@ def resolve_link(base, href) -> Column:
     prefix = F.regexp_extract(b, URL_PARTS, 1)
     frag = F.regexp_extract(b, URL_PARTS, 4)
     path, query = split_href(href)
-    seg = _encode_segment(path)
-    pushed = F.when(seg.isin(".", ".."), F.lit("")).otherwise(seg)
-    q = F.when(query.isNotNull(), F.concat(F.lit("?"), query)).otherwise(F.lit(""))
-    return F.when(prefix != "", F.concat(prefix, pushed, q, frag))
+    dot = path.isin(".", "..")
+    # after the pop, a dot segment pushes nothing: the path ends without the trailing '/'
+    popped_only = F.regexp_replace(prefix, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+/.+)/$", "$1")
+    head = F.when(dot, popped_only).otherwise(F.concat(prefix, _pct_encode(path, _SEGMENT_KEEP)))
+    q = F.when(query.isNotNull(), F.concat(F.lit("?"), _pct_encode(query, _QUERY_KEEP))).otherwise(F.lit(""))
+    return F.when(prefix != "", F.concat(head, q, frag))
 
 
 def url_host(c) -> Column:

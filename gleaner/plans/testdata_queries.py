@@ -28,6 +28,7 @@ from gleaner.operators.dom import (
     dom_nodes,
     first_text,
     label_kind,
+    last_sections,
     section_nodes,
     select_path,
     take_tokens,
@@ -300,14 +301,15 @@ def q_unknown_labels(spark, sf):
 
 @query("q_section_siblings")
 def q_section_siblings(spark, sf):
-    """DOM5: the paragraphs following each ``article > h1`` inside the article (rows-only:
-    page bodies have unclosed tags, so only a tree builder gives sibling positions)."""
+    """DOM5 (+ DOM8's replace rule): the paragraphs following the last ``article > h1`` of each
+    page, to the end of its parent (rows-only: page bodies have unclosed tags, so only a tree
+    builder gives sibling positions)."""
     nodes = cut_lineage(dom_nodes(_t(spark, sf, "pages")))
     h = select_path(nodes, [("article", None, ()), ("h1", None, ())]).select(
         "page_id", F.col("node_id").alias("header_id"), "parent_id", F.col("sib_no").alias("header_sib"),
         F.lit("title").alias("section"),
     )
-    s = section_nodes(h, nodes)
+    s = section_nodes(last_sections(h, ["title"]), nodes)
     return s.filter(F.col("name") == "p").select("page_id", "header_id", "pos", "node_id")
 
 

@@ -104,6 +104,10 @@ def test_non_empty(spark):
         ("https://h.example", "x.asp?q=1", "https://h.example/x.asp?q=1"),
         ("https://h.example/a/p?old=1#frag", "x.asp", "https://h.example/a/x.asp#frag"),
         ("https://h.example/a/p", "/abs/y", "https://h.example/a/%2Fabs%2Fy"),
+        ("https://h.example/a/p", "é x#1?q=ç d", "https://h.example/a/%C3%A9%20x%231?q=%C3%A7%20d"),
+        ("https://h.example/a/p", "..", "https://h.example/a"),
+        ("https://h.example/p", ".", "https://h.example/"),
+        ("https://h.example/a/p", "x?", "https://h.example/a/x?"),
     ],
 )
 def test_resolve_link(spark, base, href, expected):
