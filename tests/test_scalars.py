@@ -172,3 +172,40 @@ def test_parse_errors_quarantine(spark):
     n = dom_nodes(df)
     assert parse_errors(n).count() == 0
     assert n.filter("page_id = 2").count() == 1
+
+
+def test_pivot_repeat_rules(spark):
+    """CHR2: last wins; a later bad ECTS overwrites (null), a later bad Duração/Código keeps the
+    earlier good value; two good values -> the last."""
+    from gleaner.operators.fields import characteristic_specs, pivot_fields
+
+    rows = [
+        (1, 0, "ECTS", "180"), (1, 1, "ECTS", "x"),
+        (1, 2, "Duração", "6 S"), (1, 3, "Duração", "x"),
+        (1, 4, "Código", "1/2"), (1, 5, "Código", "bad"),
+        (1, 6, "Grau", "A"), (1, 7, "Grau", "B"),
+        (2, 0, "ECTS", "10"), (2, 1, "ECTS", "20"), (2, 2, "Área CNAEF", "1 X"), (2, 3, "Área CNAEF", "2 Y"),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, token_no long, field string, value string")
+    got = {r.page_id: r for r in pivot_fields(df, ["page_id"], "field", "value", "token_no", characteristic_specs()).collect()}
+    assert got[1].ects is None
+    assert (got[1].duration.amount, got[1].duration.unit) == (6, "S")
+    assert tuple(got[1].code) == ("1", "2")
+    assert got[1].degree == "B"
+    assert got[2].ects == 20 and tuple(got[2].cnaef) == ("2", "Y")
+    assert got[2].degree is None and got[2].duration is None
+
+
+def test_composite_join_nulls_and_orphans(spark):
+    """JON2: a null in any key part never matches; INT3: a null FK part passes the check."""
+    from gleaner.operators.integrity import duplicate_keys, null_keys, orphans
+    from gleaner.operators.normalise import lookup
+    from gleaner.operators.views import equi_join
+
+    child = spark.createDataFrame([("1", None), ("1", "a"), ("2", "b")], "i string, c string")
+    parent = spark.createDataFrame([("1", None), ("1", "a")], "pi string, pc string")
+    assert equi_join(child, parent, ["i", "c"], ["pi", "pc"]).count() == 1
+    assert sorted(tuple(r) for r in orphans(child, parent, ["i", "c"], ["pi", "pc"]).collect()) == [("2", "b")]
+    assert [tuple(r) for r in duplicate_keys(child, ["i"]).collect()] == [("1", 2)]
+    assert null_keys(child, ["i", "c"]).count() == 1
+    assert lookup(child, "i", "2").collect()[0].c == "b"
