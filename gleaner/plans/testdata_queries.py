@@ -788,6 +788,60 @@ def q_catalogue_write(spark, sf):
     return back.select("code", "name")
 
 
+# --------------------------------------------------------------------------- the whole catalogue
+
+
+def _esc(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def course_pages_from_part(spark, sf):
+    """One course-guide page per part row, rendered by Spark from the table (institution =
+    brand, course = part key): the input of the full catalogue plan."""
+    from gleaner import presets as P
+
+    part = spread(_t(spark, sf, "part"))
+    key, brand, name = F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_name")
+    size = F.col("p_size").cast("string")
+    nb6 = F.lit(P.NBSP * 6)
+    html = F.concat(
+        F.lit('<html><body><div id="caixa-orange"><div class="cab1">'), _esc(name),
+        F.lit('</div><div class="cab2">Inst '), _esc(brand),
+        F.lit('</div><div class="inside2"><h2>' + P.SECTION_CONTACTS + "</h2>"), _esc(F.col("p_type")),
+        F.lit("<br>Lote "), size, F.lit("<br><br>" + P.PHONE_PREFIX + "21 "), size, F.lit(" 00, 22 "), size,
+        F.lit(" 01<br>" + P.FAX_PREFIX + "1<br><a href=\"mailto:c"), key, F.lit('@a.example; d@b.example">m</a>'),
+        F.lit("<h2>" + P.SECTION_CHARACTERISTICS + "</h2>" + P.FIELD_CODE + ": "), _esc(brand), F.lit("/"), key,
+        F.lit("<br>" + P.FIELD_DEGREE + ": "), _esc(F.col("p_type")),
+        F.lit("<br>" + P.FIELD_CNAEF + ": "), size, F.lit(" "), _esc(F.col("p_type")),
+        F.lit("<br>" + P.FIELD_DURATION + ": "), ((F.col("p_size") % 10) + 1).cast("string"), F.lit(" Semestres"),
+        F.lit("<br>" + P.FIELD_ECTS + ": "), (F.col("p_size") * 6).cast("string"),
+        F.lit("<br>" + P.FIELD_CONTEST + ": Nacional<br><h2>" + P.SECTION_EXAMS + "</h2>" + P.EXAMS_SINGLE_CHOICE + "<br>07 "),
+        _esc(name), F.lit("<br>"), nb6, F.lit("ou<br>16 Matemática<br>"), nb6, F.lit("e<br>19 "), _esc(F.col("p_type")),
+        F.lit("<br></div></div></body></html>"),
+    )
+    pages = part.select(
+        F.col("p_partkey").alias("page_id"), F.col("p_partkey").alias("seq"),
+        course_url(brand, key).alias("url"), html.alias("html"),
+    )
+    selection = part.select(brand.alias("institution_code"), key.alias("course_code"))
+    return pages, selection
+
+
+@query("q_catalogue_view", """
+SELECT p_size * 6 AS ects, p_brand AS institution_code, 'Inst ' || p_brand AS institution_name,
+       CAST(p_partkey AS VARCHAR) AS course_code, p_name AS course_name,
+       (p_size % 10) + 1 AS duration_ammount, 'Semestres' AS duration_unit
+FROM part""")
+def q_catalogue_view(spark, sf):
+    """The whole reference job on pages Spark renders from ``part``: selected-courses mode
+    (CSV-like selection -> URL template -> semi-join), DOM1, sections, fields, contacts,
+    exams, gates, first-wins tables, and the expanded view (JON3)."""
+    from gleaner.plans.catalogue import catalogue_from_pages
+
+    pages, selection = course_pages_from_part(spark, sf)
+    return catalogue_from_pages(pages, selection=selection)["view"]
+
+
 # --------------------------------------------------------------------------- flagship
 
 
