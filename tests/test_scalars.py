@@ -131,6 +131,19 @@ def test_cp1252_decode(spark):
     assert got[1] == "ç"
 
 
+def test_decode_labels_bom_and_malformed(spark):
+    rows = [
+        (bytearray(b"caf\xe9 \x80"), "text/html; charset=ISO-8859-1"),  # WHATWG: latin1 label = windows-1252
+        (bytearray(b"ok \xff x"), "text/html; charset=utf-8"),  # malformed UTF-8: replaced, no failure
+        (bytearray(b"\xef\xbb\xbfhi \xc3\xa7"), "text/html"),  # BOM wins over the text/html rule
+        (bytearray("hé".encode("utf-16le")), "text/plain; charset=utf-16le"),
+        (bytearray(b"plain"), None),
+    ]
+    df = spark.createDataFrame(rows, "body binary, content_type string")
+    got = [r["html"] for r in decode_body(with_charset(df)).collect()]
+    assert got == ["café €", "ok \ufffd x", "hi ç", "hé", "plain"]
+
+
 def test_cp1252_table_matches_codec():
     from gleaner.sources.pages import CP1252_HIGH
 
