@@ -29,15 +29,25 @@ from gleaner.operators.normalise import build_catalogue
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import expanded_course_institution
 from gleaner.presets import CrawlPreset, ExamPreset, FieldPreset, SectionPreset
-from gleaner.session import cut_lineage
+from gleaner.session import co_partition_by_prefix, cut_lineage, write_bucketed
 from gleaner.sources.pages import course_url
 
 PARSED_SECTIONS = ("contacts", "characteristics", "exams")
 
 
-def page_nodes(pages: DataFrame, materialise: bool = True) -> DataFrame:
-    nodes = dom_nodes(pages.select("page_id", "html"))
-    return cut_lineage(nodes) if materialise else nodes
+def page_nodes(pages: DataFrame, materialise: bool = True, buckets: int | None = None) -> DataFrame:
+    """DOM1 for the pages, materialised as a table bucketed by page_id.
+
+    Pages are hash-partitioned by page_id *before* the parse (moving HTML is cheaper than
+    moving nodes), so each parse task holds one bucket and writes one file; everything
+    after it is per page, so joins and aggregates on (page_id, ...) need no shuffle."""
+    spark = pages.sparkSession
+    if not materialise:
+        return dom_nodes(pages.select("page_id", "html"))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    co_partition_by_prefix(spark)
+    src = pages.select("page_id", "html").repartition(n, "page_id")
+    return write_bucketed(dom_nodes(src, spread_input=False), "page_id", n, "nodes", partitioned=True)
 
 
 def _hop(pages: DataFrame, frontier: DataFrame, contains) -> DataFrame:
@@ -81,7 +91,7 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     feed four parsers, so they are materialised once."""
     course_ids = course_pages.select("page_id")
     headers = section_headers(nodes, sections.header_path, sections.kinds).join(course_ids, "page_id", "left_semi")
-    secn = cut_lineage(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes))
+    secn = write_bucketed(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes), "page_id", tag="sections")
 
     con = contacts(secn.filter(F.col("section") == "contacts"))
     chars = characteristics(secn.filter(F.col("section") == "characteristics"), fields)

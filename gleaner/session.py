@@ -66,3 +66,28 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, tag: str = "table",
+                   partitioned: bool = False) -> DataFrame:
+    """Materialise ``df`` as a table bucketed by ``key`` in the shared checkpoint folder and
+    return it read back.  Reads of a bucketed table carry their hash partitioning, so later
+    aggregates and joins on (key, ...) run without a shuffle (with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``, see ``co_partition_by_prefix``).
+    ``partitioned=True`` says ``df`` is already hash-partitioned on ``key`` into ``buckets``
+    partitions, so each task writes exactly one bucket file."""
+    import uuid
+
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"gleaner_{tag}_{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    src = df if partitioned else df.repartition(n, key)
+    src.write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def co_partition_by_prefix(spark: SparkSession) -> None:
+    """Let joins on (page_id, x) reuse a page_id hash partitioning instead of reshuffling both
+    sides on (page_id, x).  A physical-planning requirement only: results do not change."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
