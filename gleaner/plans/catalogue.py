@@ -45,7 +45,6 @@ def page_nodes(pages: DataFrame, materialise: bool = True, buckets: int | None =
     if not materialise:
         return dom_nodes(pages.select("page_id", "html"))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    co_partition_by_prefix(spark)
     src = pages.select("page_id", "html").repartition(n, "page_id")
     return write_bucketed(dom_nodes(src, spread_input=False), "page_id", n, "nodes", partitioned=True)
 
@@ -91,7 +90,8 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     feed four parsers, so they are materialised once."""
     course_ids = course_pages.select("page_id")
     headers = section_headers(nodes, sections.header_path, sections.kinds).join(course_ids, "page_id", "left_semi")
-    secn = write_bucketed(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes), "page_id", tag="sections")
+    with co_partition_by_prefix(nodes.sparkSession):
+        secn = write_bucketed(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes), "page_id", tag="sections")
 
     con = contacts(secn.filter(F.col("section") == "contacts"))
     chars = characteristics(secn.filter(F.col("section") == "characteristics"), fields)
@@ -125,11 +125,12 @@ def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, m
     pages (selected, or reached by the crawl) are turned into the node table."""
     course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages)
     nodes = page_nodes(course_pages)
-    parsed = parse_entries(course_pages, nodes, mode)
-    # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
-    # tables and their checks read it, so it is written once to the checkpoint folder
-    for k in ("entries", "optional", "mandatory"):
-        parsed[k] = cut_lineage(parsed[k])
+    with co_partition_by_prefix(pages.sparkSession):
+        parsed = parse_entries(course_pages, nodes, mode)
+        # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
+        # tables and their checks read it, so it is written once to the checkpoint folder
+        for k in ("entries", "optional", "mandatory"):
+            parsed[k] = cut_lineage(parsed[k])
     tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"])
     return {
         "tables": tables,

@@ -8,6 +8,7 @@ runs.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,7 +88,19 @@ def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, tag: str
     return spark.table(name)
 
 
-def co_partition_by_prefix(spark: SparkSession) -> None:
-    """Let joins on (page_id, x) reuse a page_id hash partitioning instead of reshuffling both
-    sides on (page_id, x).  A physical-planning requirement only: results do not change."""
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+@contextlib.contextmanager
+def co_partition_by_prefix(spark: SparkSession):
+    """While active, joins on (page_id, x) reuse a page_id hash partitioning instead of
+    reshuffling both sides on (page_id, x).  A physical-planning requirement only (results do
+    not change); restored on exit so unrelated later joins keep Spark's default, which
+    protects them from reusing a low-cardinality partial partitioning."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

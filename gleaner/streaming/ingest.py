@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.operators.normalise import first_wins
-from gleaner.session import checkpoint_dir
+from gleaner.session import checkpoint_dir, co_partition_by_prefix, cut_lineage
 
 
 def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -78,7 +78,10 @@ def catalogue_stream_handler(target_root: str, mode: str = "intended"):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         nodes = page_nodes(batch)
-        parsed = parse_entries(batch, nodes, mode)
+        with co_partition_by_prefix(spark):
+            parsed = parse_entries(batch, nodes, mode)
+            for k in ("entries", "optional", "mandatory"):
+                parsed[k] = cut_lineage(parsed[k])
         stored = read_target(spark, f"{target_root}/course_institution", CATALOGUE_SCHEMAS["course_institution"])
         tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"], existing_facts=stored)
         for name in WRITE_ORDER:
