@@ -32,6 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -104,3 +105,30 @@ def co_partition_by_prefix(spark: SparkSession):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``gleaner`` importable on the executors' Python workers (the HTML parse and the
+    Arrow running sums run there): zip the package once per SparkContext and register it
+    with ``addPyFile``, the same mechanism as ``--py-files``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="gleaner-pyfiles-"), "gleaner.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -24,6 +24,9 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from gleaner.session import ship_package
+
+    ship_package(s)
     yield s
 
 
