@@ -73,3 +73,27 @@ def test_skew_safe_ordinals(spark):
     glob = global_ordinal(df, ["o"], "n")
     assert sorted(r.n for r in glob.select("n").collect()) == list(range(1, 6001))
     assert glob.filter(F.col("n") == F.col("o") + 1).count() == 6000
+
+
+def test_route_allow_and_crawl_plan(spark):
+    from gleaner.operators.links import allow_domains, crawl_plan, route_pages
+    from gleaner.presets import COURSE_LINK_CONTAINS, LETTER_LINK_CONTAINS
+
+    urls = [
+        (1, "https://dges.gov.pt/guias/indcurso.asp?letra=A"),
+        (2, "https://dges.gov.pt/guias/detcursopi.asp?codc=9003&code=3021"),
+        (3, "https://dges.gov.pt/guias/other.asp"),
+        (4, "https://www.dges.gov.pt/x"),
+        (5, "https://evil.example/guias/detcursopi.asp?codc=1&code=2"),
+    ] + [(100 + i, f"https://dges.gov.pt/p{i}") for i in range(30)]
+    df = spark.createDataFrame(urls, "seq long, url string")
+    rules = [("iterating_courses", list(LETTER_LINK_CONTAINS)), ("scraping_course", list(COURSE_LINK_CONTAINS))]
+    kinds = {r.seq: r.page_kind for r in route_pages(df, "url", rules).collect()}
+    assert kinds == {1: "iterating_courses", 2: "scraping_course", 5: "scraping_course"}
+    exact = {r.seq for r in allow_domains(df, "url", ["dges.gov.pt"]).collect()}
+    assert 4 not in exact and 5 not in exact and {1, 2, 3} <= exact
+    assert 4 in {r.seq for r in allow_domains(df, "url", ["dges.gov.pt"], subdomains=True).collect()}
+    plan = {r.seq: (r.host, r.offset_s) for r in crawl_plan(df, "url", ["seq"], 10).collect()}
+    dges = sorted(v[1] for k, v in plan.items() if v[0] == "dges.gov.pt")
+    assert dges == [10 * i for i in range(33)]  # one host, one request every 10 s, in seq order
+    assert plan[4] == ("www.dges.gov.pt", 0) and plan[5] == ("evil.example", 0)
