@@ -43,3 +43,23 @@ def test_gates_and_first_wins(spark):
     assert {r.code: r.name for r in t["courses"]} == {"1": "C1", "2": "C2", "5": None}
     assert out["violations"].count() == 0
     assert out["view"].count() == 3
+
+
+def test_job_selected_courses_from_csv(spark, scratch):
+    """The batch job in selected-courses mode: raw windows-1252 bodies + a selection CSV."""
+    import os
+
+    from fixture_pages import fixture_rows
+    from gleaner.plans.job import run
+    from gleaner.sources.sinks import read_catalogue
+
+    spark.createDataFrame(fixture_rows(), "seq long, url string, content_type string, body binary").write.parquet(
+        f"{scratch}/pages")
+    os.makedirs(f"{scratch}/sel")
+    with open(f"{scratch}/sel/courses.csv", "w") as f:
+        f.write("institution_code,course_code\n3021,9003\n0300,9252")
+    run(spark, f"{scratch}/pages", f"{scratch}/out", source=f"{scratch}/sel")
+    t = read_catalogue(spark, f"{scratch}/out")
+    assert [tuple(r) for r in t["course_institution"].collect()] == [(180, "3021", "9003")]
+    view = spark.read.parquet(f"{scratch}/out/expanded_course_institution").collect()
+    assert [tuple(r) for r in view] == [(180, "3021", "Instituto Y", "9003", "Engenharia X", 6, "Semestres")]
