@@ -181,8 +181,10 @@ def parse_html(html: str, inner_html_tags=frozenset()) -> dict:
     A page the parser cannot handle yields a single root row of kind ``error`` whose text
     is the error, so one bad page is quarantined (FLT1) instead of failing the task."""
     b = _TreeBuilder()
+    # HTML input preprocessing: CR LF and lone CR become LF before tree building
+    text = (html or "").replace("\r\n", "\n").replace("\r", "\n")
     try:
-        b.feed(html or "")
+        b.feed(text)
         b.close()
     except Exception as e:  # noqa: BLE001 - any parser failure is data, not a job failure
         b = _TreeBuilder()

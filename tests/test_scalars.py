@@ -222,3 +222,10 @@ def test_composite_join_nulls_and_orphans(spark):
     assert [tuple(r) for r in duplicate_keys(child, ["i"]).collect()] == [("1", 2)]
     assert null_keys(child, ["i", "c"]).count() == 1
     assert lookup(child, "i", "2").collect()[0].c == "b"
+
+
+def test_html_newline_normalisation():
+    from gleaner.operators.htmltree import parse_html
+
+    t = parse_html("<p>a\r\nb\rc</p>", frozenset())
+    assert [x for x, k in zip(t["text"], t["kind"]) if k == "text"] == ["a\nb\nc"]
