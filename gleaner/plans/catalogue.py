@@ -25,7 +25,7 @@ from gleaner.operators.dom import (
 from gleaner.operators.fields import characteristics, contacts, unknown_fields
 from gleaner.operators.integrity import check_catalogue
 from gleaner.operators.links import resolve_link, select_links, select_pages
-from gleaner.operators.normalise import build_catalogue
+from gleaner.operators.normalise import build_catalogue, first_wins
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import expanded_course_institution
 from gleaner.presets import CrawlPreset, ExamPreset, FieldPreset, SectionPreset
@@ -49,6 +49,14 @@ def page_nodes(pages: DataFrame, materialise: bool = True, buckets: int | None =
     return write_bucketed(dom_nodes(src, spread_input=False), "page_id", n, "nodes", partitioned=True)
 
 
+def one_per_url(pages: DataFrame) -> DataFrame:
+    """A crawl fetches each URL once: of several snapshots of one URL keep the earliest
+    (``seq``, then ``page_id``) - a first-wins aggregate over (url, page_id) only."""
+    order = ["seq", "page_id"] if "seq" in pages.columns else ["page_id"]
+    ids = first_wins(pages.select("url", *order), ["url"], order, ["page_id"])
+    return pages.join(ids.select("page_id"), "page_id", "left_semi")
+
+
 def _hop(pages: DataFrame, frontier: DataFrame, contains) -> DataFrame:
     """One crawl hop: parse only the frontier pages, select and resolve their links,
     and return (page_id, url) of the snapshot pages they point at."""
@@ -65,6 +73,7 @@ def crawl_course_pages(pages: DataFrame, preset: CrawlPreset = CrawlPreset()) ->
 
     Like the crawl itself, a hop only parses the pages reached by the previous hop; the
     frontier is a URL list, materialised so each hop plans from a flat input."""
+    pages = one_per_url(pages)
     frontier = pages.filter(F.col("url") == F.lit(preset.seed_url))
     visited = cut_lineage(frontier.select("url"))
     for contains in preset.hops:
@@ -77,7 +86,7 @@ def crawl_course_pages(pages: DataFrame, preset: CrawlPreset = CrawlPreset()) ->
 def selected_course_pages(pages: DataFrame, selection: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
     """LNK6 + SRC6: only the course pages named in a selection table."""
     urls = selection.select(course_url("institution_code", "course_code", preset.course_url_template).alias("url"))
-    return select_pages(pages, urls)
+    return one_per_url(select_pages(pages, urls))
 
 
 def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intended",
