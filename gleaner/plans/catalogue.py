@@ -134,8 +134,10 @@ def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, m
     pages (selected, or reached by the crawl) are turned into the node table."""
     course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages)
     nodes = page_nodes(course_pages)
+    # (page_id, seq, url) of the course pages: one small row per page, read four times below
+    index = cut_lineage(course_pages.select("page_id", *(["seq"] if "seq" in course_pages.columns else []), "url"))
     with co_partition_by_prefix(pages.sparkSession):
-        parsed = parse_entries(course_pages, nodes, mode)
+        parsed = parse_entries(index, nodes, mode)
         # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
         # tables and their checks read it, so it is written once to the checkpoint folder
         for k in ("entries", "optional", "mandatory"):
