@@ -520,13 +520,15 @@ _EX = ExamPreset()
 
 
 def _conv_tokens(spark, sf):
-    """conversations as requirement tokens: system = AND, assistant = OR, user = exam text;
-    turn 0 carries a stage header chosen by conv_id % 3 (single / group / none)."""
+    """conversations as requirement tokens: the opening turn is a stage header (single choice
+    when a user opens, group choice when the system does); later, a multi-line assistant turn
+    closes a block (AND), a one-line assistant turn separates alternatives (OR), user turns
+    are exam texts."""
     c = _t(spark, sf, "conversations")
     text = (
-        F.when((F.col("turn") == 0) & (F.col("conv_id") % 3 == 0), F.lit(_EX.single_choice))
-        .when((F.col("turn") == 0) & (F.col("conv_id") % 3 == 1), F.lit(_EX.group_choice))
-        .when(F.col("role") == "system", F.lit(_EX.and_marker))
+        F.when((F.col("turn") == 0) & (F.col("role") == "user"), F.lit(_EX.single_choice))
+        .when((F.col("turn") == 0) & (F.col("role") == "system"), F.lit(_EX.group_choice))
+        .when((F.col("role") == "assistant") & F.col("text").contains("\n"), F.lit(_EX.and_marker))
         .when(F.col("role") == "assistant", F.lit(_EX.or_marker))
         .otherwise(F.col("text"))
     )
@@ -539,9 +541,9 @@ def _sql_conv_tokens() -> str:
     assert a == "\u00a0" * 6 + "e" and o == "\u00a0" * 6 + "ou"
     return f"""
 t AS (SELECT conv_id, turn,
-        CASE WHEN turn = 0 AND conv_id % 3 = 0 THEN '{s1}'
-             WHEN turn = 0 AND conv_id % 3 = 1 THEN '{g1}'
-             WHEN role = 'system' THEN {nb} || 'e'
+        CASE WHEN turn = 0 AND role = 'user' THEN '{s1}'
+             WHEN turn = 0 AND role = 'system' THEN '{g1}'
+             WHEN role = 'assistant' AND contains(text, chr(10)) THEN {nb} || 'e'
              WHEN role = 'assistant' THEN {nb} || 'ou'
              ELSE text END AS text FROM conversations),
 b AS (SELECT *, text = {nb} || 'e' AS is_and, text = {nb} || 'ou' AS is_or,
