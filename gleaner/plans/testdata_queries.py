@@ -299,18 +299,20 @@ def q_unknown_labels(spark, sf):
     return unknown_labels(c, "role", CONV_KINDS.keys())
 
 
-@query("q_section_siblings")
+@query("q_section_siblings", """
+WITH a AS (SELECT page_id, regexp_extract(html, '(?s)</h1>(.*)</article>', 1) AS body FROM pages)
+SELECT page_id, CAST(unnest(range(0, len(regexp_extract_all(body, '<p[ >]', 0)))) AS BIGINT) AS pos FROM a""")
 def q_section_siblings(spark, sf):
     """DOM5 (+ DOM8's replace rule): the paragraphs following the last ``article > h1`` of each
-    page, to the end of its parent (rows-only: page bodies have unclosed tags, so only a tree
-    builder gives sibling positions)."""
+    page, to the end of its parent.  The pages leave ``<p>`` unclosed, so the tree builder's
+    implied end tags are what makes them siblings; the oracle counts ``<p`` tags after the title."""
     nodes = cut_lineage(dom_nodes(_t(spark, sf, "pages")))
     h = select_path(nodes, [("article", None, ()), ("h1", None, ())]).select(
         "page_id", F.col("node_id").alias("header_id"), "parent_id", F.col("sib_no").alias("header_sib"),
         F.lit("title").alias("section"),
     )
     s = section_nodes(last_sections(h, ["title"]), nodes)
-    return s.filter(F.col("name") == "p").select("page_id", "header_id", "pos", "node_id")
+    return s.filter(F.col("name") == "p").select("page_id", F.col("pos").cast("long").alias("pos"))
 
 
 @query("q_take_tokens", """

@@ -48,7 +48,7 @@ def test_every_query_registered_has_oracle_or_is_rows_only():
     from __spark_entry__ import oracle_sql, queries
 
     rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"q_section_siblings"}
+    assert rows_only == set()
     assert set(oracle_sql()) <= set(queries())
 
 
