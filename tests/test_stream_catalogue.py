@@ -22,12 +22,14 @@ def test_two_batches(spark, scratch):
                                                        exams_html="Uma das seguintes provas:<br>99 Z<br>")),
                         (14, "3000", "4", course_page("3000", "4", ects=None)),
                         (15, "1000", "5", course_page("1000", "5", inst_name="I-later"))])
+    from gleaner.streaming.job import run
+
     src, target, ckpt = f"{scratch}/src", f"{scratch}/cat", f"{scratch}/ckpt"
     schema = spark.createDataFrame([], SCHEMA).schema
     land(b1, src)
     ingest_pages(spark, src, schema, target, ckpt)
     land(b2, src)
-    ingest_pages(spark, src, schema, target, ckpt)
+    run(spark, src, target, ckpt)  # the job entry point: same stream, same checkpoint
     t = {k: sorted(tuple(r) for r in v.collect()) for k, v in read_catalogue(spark, target).items()}
     assert [r[:2] for r in t["institutions"]] == [("1000", "I-first"), ("3000", "Instituto Y")]
     assert t["course_institution"] == [(180, "1000", "1"), (180, "1000", "5")]
