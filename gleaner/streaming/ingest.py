@@ -67,13 +67,28 @@ def land(df: DataFrame, landing_dir: str) -> None:
     df.write.mode("append").parquet(landing_dir)
 
 
+def append_new(t: DataFrame, path: str, keys, schema) -> None:
+    """Append the rows of ``t`` whose key is not stored at ``path`` yet (idempotent)."""
+    existing = read_target(t.sparkSession, path, schema)
+    new = t if existing is None else t.join(existing.select(*keys), keys, "left_anti")
+    new.write.mode("append").parquet(path)
+
+
 def catalogue_stream_handler(target_root: str, mode: str = "intended"):
     """foreachBatch body for page snapshots: parse the batch, build its tables against the
-    facts already stored, and insert-if-absent table by table, parents first."""
+    facts already stored, and insert-if-absent table by table.
+
+    The fact table goes last: facts stored by earlier batches win over this batch (NRM3), so
+    if a batch died after writing its own facts, the retry would see them as earlier ones and
+    drop their durations and exams.  With the facts written last, a failure leaves no fact of
+    the batch behind, the retry recomputes the same winners, and the per-key anti-joins make
+    the re-appends of the other tables exact."""
+    from gleaner.operators.integrity import CONSTRAINTS
     from gleaner.operators.normalise import build_catalogue
     from gleaner.plans.catalogue import page_nodes, parse_entries
     from gleaner.sources.sinks import CATALOGUE_SCHEMAS, WRITE_ORDER, conform
-    from gleaner.operators.integrity import CONSTRAINTS
+
+    order = [t for t in WRITE_ORDER if t != "course_institution"] + ["course_institution"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -84,12 +99,9 @@ def catalogue_stream_handler(target_root: str, mode: str = "intended"):
                 parsed[k] = cut_lineage(parsed[k])
         stored = read_target(spark, f"{target_root}/course_institution", CATALOGUE_SCHEMAS["course_institution"])
         tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"], existing_facts=stored)
-        for name in WRITE_ORDER:
-            t = conform(tables[name], name)
-            keys = CONSTRAINTS[name]["pk"]
-            existing = read_target(spark, f"{target_root}/{name}", CATALOGUE_SCHEMAS[name])
-            new = t if existing is None else t.join(existing.select(*keys), keys, "left_anti")
-            new.write.mode("append").parquet(f"{target_root}/{name}")
+        for name in order:
+            append_new(conform(tables[name], name), f"{target_root}/{name}", CONSTRAINTS[name]["pk"],
+                       CATALOGUE_SCHEMAS[name])
 
     return handle
 

@@ -40,3 +40,31 @@ def test_two_batches(spark, scratch):
     ingest_pages(spark, src, schema, target, ckpt)
     t2 = {k: sorted(tuple(r) for r in v.collect()) for k, v in read_catalogue(spark, target).items()}
     assert t2 == t
+
+
+def test_batch_retry_after_partial_write(spark, scratch, monkeypatch):
+    """A batch that dies after writing some tables and is retried gives the same tables."""
+    import gleaner.streaming.ingest as ingest
+    from gleaner.streaming.ingest import catalogue_stream_handler
+
+    batch = _pages(spark, [(10, "1000", "1", course_page("1000", "1")), (11, "1000", "2", course_page("1000", "2"))])
+    real = ingest.append_new
+    calls = []
+
+    def failing(t, path, keys, schema):
+        calls.append(path)
+        if path.endswith("/durations") and len([c for c in calls if c.endswith("/durations")]) == 1:
+            raise RuntimeError("executor lost")
+        real(t, path, keys, schema)
+
+    monkeypatch.setattr(ingest, "append_new", failing)
+    handle = catalogue_stream_handler(f"{scratch}/cat")
+    try:
+        handle(batch, 0)
+    except RuntimeError:
+        pass
+    handle(batch, 0)  # the retry of the same micro-batch
+    t = {k: sorted(tuple(r) for r in v.collect()) for k, v in read_catalogue(spark, f"{scratch}/cat").items()}
+    assert t["course_institution"] == [(180, "1000", "1"), (180, "1000", "2")]
+    assert t["durations"] == [("1000", "1", "Semestres", 6), ("1000", "2", "Semestres", 6)]
+    assert len(t["institutions"]) == 1 and t["exams"] == [("07", "Física e Química")]
