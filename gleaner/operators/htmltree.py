@@ -119,10 +119,13 @@ class _TreeBuilder(HTMLParser):
             self._new("element", "p", None, {})
 
     def handle_data(self, data):
-        if not data:
-            return
         parent = self.stack[-1]
         kids = self.children[parent]
+        # HTML5: a newline right after a <pre>/<textarea>/<listing> start tag is dropped
+        if not kids and data.startswith("\n") and self.name[parent] in ("pre", "textarea", "listing"):
+            data = data[1:]
+        if not data:
+            return
         if kids and self.kind[kids[-1]] == "text":
             self.text[kids[-1]] += data
         else:

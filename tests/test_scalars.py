@@ -229,3 +229,10 @@ def test_html_newline_normalisation():
 
     t = parse_html("<p>a\r\nb\rc</p>", frozenset())
     assert [x for x, k in zip(t["text"], t["kind"]) if k == "text"] == ["a\nb\nc"]
+
+
+def test_html_pre_leading_newline():
+    from gleaner.operators.htmltree import parse_html
+
+    t = parse_html("<pre>\nx\n</pre><div>\ny</div>", frozenset())
+    assert [x for x, k in zip(t["text"], t["kind"]) if k == "text"] == ["x\n", "\ny"]
