@@ -122,8 +122,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = _keyed(docs, id_col, text_col).select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left")
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     base, added = F.coalesce("base", none), F.coalesce("added", none)
-    count = [F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
-    return rows.select("doc_id", *count, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.concat(base, added)).alias("spans"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    return rows.select("doc_id", count(0), count(1), count(2), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.concat(base, added)).alias("spans"))
 
 
 def redact(docs: DataFrame, mark: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
