@@ -39,9 +39,10 @@ from pyspark.sql import Window as W
 
 from gleaner.llm.tables import materialise, total_bytes
 
-DEPTH = 4  # context bytes; a gram of DEPTH + 1 bytes must fit a long
-BATCH_BYTES = 16_000_000
+DEPTH = 5  # context bytes; a gram of DEPTH + 1 bytes must fit a long
+BATCH_BYTES = 32_000_000
 SLICE_BYTES = 1_000_000  # bytes whose grams are sorted at once
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 END = b""  # the base model's end token
 
 
@@ -59,27 +60,48 @@ def _grams(data: bytes, depth: int) -> np.ndarray:
     return out
 
 
-def _distinct_grams(texts: list[bytes], weights: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams of all texts and their counts in those of weight 1."""
+def _distinct_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams of all texts and their counts."""
     uniq, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     held: list[np.ndarray] = []
-    marks: list[np.ndarray] = []
     size = 0
     for i, data in enumerate(texts):
-        g = _grams(data, depth)
-        held.append(g)
-        marks.append(np.full(len(g), weights[i], np.int64))
-        size += len(g)
+        held.append(_grams(data, depth))
+        size += len(held[-1])
         if size >= SLICE_BYTES or i == len(texts) - 1:
-            part, at = np.unique(np.concatenate(held), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate(marks), minlength=len(part)).astype(np.int64)
-            both, at = np.unique(np.concatenate([uniq, part]), return_inverse=True)
-            count = np.bincount(at, weights=np.concatenate([count, n]), minlength=len(both)).astype(np.int64)
-            uniq = both
-            held, marks, size = [], [], 0
+            uniq, count = _merged(uniq, count, *np.unique(np.concatenate(held), return_counts=True))
+            held, size = [], 0
     return uniq, count
 
 
+def _merged(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted lists of distinct grams and their counts as one."""
+    at = np.minimum(np.searchsorted(a, b), max(0, len(a) - 1))
+    known = a[at] == b if len(a) else np.zeros(len(b), bool)
+    n = n.copy()
+    n[at[known]] += m[known]
+    both = np.concatenate([a, b[~known]])
+    order = np.argsort(both, kind="stable")
+    return both[order], np.concatenate([n, m[~known]])[order]
+
+
+class _Lookup:
+    """Position of grams in a sorted list that holds them all: one hashed slot first, binary search for the rest."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams = grams
+        bits = max(8, int(np.ceil(np.log2(4 * len(grams) + 1))))
+        self.shift = np.uint64(64 - bits)
+        self.slot = np.zeros(1 << bits, np.int32)
+        self.slot[(grams * _MULTIPLIER) >> self.shift] = np.arange(len(grams), dtype=np.int32)
+
+    def __call__(self, g: np.ndarray) -> np.ndarray:
+        at = self.slot[(g * _MULTIPLIER) >> self.shift]
+        miss = np.flatnonzero(self.grams[at] != g)
+        at[miss] = np.searchsorted(self.grams, g[miss])
+        return at
+
+
 def _requests(table: pa.Table, depth: int) -> pa.Table:
     """What one batch holds: its distinct tokens (sorted) and grams (sorted), with their training counts."""
     texts = [_lowered(t.as_py()) for t in table.column("text")]
@@ -94,14 +116,16 @@ def _requests(table: pa.Table, depth: int) -> pa.Table:
             for x in words:
                 tokens.setdefault(x, 0)
     names = sorted(tokens)
-    grams, n = _distinct_grams(texts, train, depth)
+    grams, n = _distinct_grams([t for t, w in zip(texts, train, strict=True) if w], depth)
+    other, none = _distinct_grams([t for t, w in zip(texts, train, strict=True) if not w], depth)
+    grams, n = _merged(grams, n, other, np.zeros_like(none))
     batch = table.column("batch")[0].as_py()
     size = len(names) + len(grams)
     return pa.table({
         "batch": pa.array(np.full(size, batch, np.int32)),
         "at": pa.array(np.concatenate([np.arange(len(names)), np.arange(len(grams))]).astype(np.int32)),
         "token": pa.array(names + [None] * len(grams), pa.binary()),
-        "gram": pa.array([None] * len(names) + grams.astype(np.int64).tolist(), pa.int64()),
+        "gram": pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(grams.astype(np.int64))]),
         "n": pa.array(np.concatenate([np.fromiter((tokens[x] for x in names), np.int64, len(names)), n])),
     })
 
@@ -125,10 +149,8 @@ def train_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
     """The nodes of each depth, 0 to ``depth``: (ctx, node, a, b, lpe, lpw, w), w being the weight with which the
     node's own estimate stands in the mixture.  ``grams``: (gram, n) with every gram that is asked for, n may be 0."""
     bits = grams.withColumn("i", F.explode(F.array(*[F.lit(i) for i in range(8)])))
-    byte = F.col("gram").bitwiseAND(255)
     node = F.expr("shiftleft(1L, i) | shiftright(gram & 255, 8 - i)").cast("int")
     bit = F.expr("shiftright(gram & 255, 7 - i) & 1")
-    del byte
     deepest = (bits.groupBy(F.shiftright("gram", 8).alias("ctx"), node.alias("node"))
                .agg(F.sum(F.when(bit == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(bit == 1, F.col("n")).otherwise(0)).alias("b"))
                .withColumn("lpe", _log_kt(F.col("a"), F.col("b")))
@@ -170,7 +192,7 @@ def _scores(table: pa.Table, answers: pa.Table, depth: int, n_train: int, n_dist
     """Scores of one batch: the answers come by position in its sorted distinct tokens and grams."""
     texts = [_lowered(t.as_py()) for t in table.column("text")]
     words = sorted({w for data in texts for w in data.split()} | {END}) if texts else []
-    grams, _ = _distinct_grams(texts, [0] * len(texts), depth)
+    grams, _ = _distinct_grams(texts, depth)
     token = answers.column("is_token").to_numpy(zero_copy_only=False)
     at, value = answers.column("at").to_numpy(), answers.column("value").to_numpy()
     c = np.zeros(len(words))
@@ -178,6 +200,7 @@ def _scores(table: pa.Table, answers: pa.Table, depth: int, n_train: int, n_dist
     lp = np.zeros(len(grams))
     lp[at[~token]] = value[~token]
     count = dict(zip(words, c.tolist(), strict=True))
+    find = _Lookup(grams)
     total = math.log10(n_train + 0.5 * (n_distinct + 1))
     n_tokens, n_known, base, score = [], [], [], []
     for data in texts:
@@ -187,7 +210,7 @@ def _scores(table: pa.Table, answers: pa.Table, depth: int, n_train: int, n_dist
         n_tokens.append(len(own))
         n_known.append(int((found > 0).sum()))
         base.append(float(np.log10(found + 0.5).sum() - total * len(own)))
-        score.append(float(lp[np.searchsorted(grams, _grams(data, depth))].sum()))
+        score.append(float(lp[find(_grams(data, depth))].sum()))
     return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
                      "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([n_train] * len(texts), pa.int64()),
                      "base_score": pa.array(base, pa.float64()), "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "score": pa.array(score, pa.float64())})
