@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 256):
+    """While active, Python stages that run get batches of few rows; for rows that hold whole sets.  Results do
+    not depend on it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every table this application has written with ``materialise``; call it once the
     results built on them have been written."""

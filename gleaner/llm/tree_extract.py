@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of its elements.  Every block of text outside boilerplate is worth one point, one
-for each comma and up to three for its length; it passes them to its parent in full, to its grandparent
-by half, and to further ancestors by ever smaller shares.  A container's points are discounted by its
+for each comma and up to three for its length; it passes them to the block around it in full, to the next
+one by half, and to three more by ever smaller shares.  A container's points are discounted by its
 link density.  The best container is kept, or the ``article``/``main`` that holds it, with those of its
 siblings that score well or are plain text with few links.
 
@@ -50,6 +50,7 @@ subscribe subscription signup login share sharing social related recommended rec
 contentinfo complementary form disclaimer copyright""".split())
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+LEVELS = 5  # containers a block passes points to
 KEEP_SHARE = 0.2  # of the best score, for a sibling
 
 
@@ -72,6 +73,7 @@ class Page:
         self.tag = ["#root"]
         self.parent = [-1]
         self.out = [False]
+        self.above = [-1]  # nearest block around an element
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._read(source)
 
@@ -96,9 +98,7 @@ class Page:
                 return
             text = entities.unescape(raw) if "&" in raw else raw
             if not parts:
-                owner = here
-                while self.tag[owner] not in BLOCK and self.parent[owner] >= 0:
-                    owner = self.parent[owner]
+                owner = here if self.tag[here] in BLOCK else max(0, self.above[here])
             parts.append(text)
             if open_count.get("a", 0):
                 linked += len(text.strip())
@@ -160,6 +160,7 @@ class Page:
                 continue
             self.tag.append(tag)
             self.parent.append(top)
+            self.above.append(top if top == 0 or self.tag[top] in BLOCK else self.above[top])
             self.out.append(out)
             stack.append(len(self.tag) - 1)
             open_count[tag] = open_count.get(tag, 0) + 1
@@ -172,16 +173,17 @@ class Page:
         points, chars, linked = [0.0] * n, [0] * n, [0] * n
         for element, text, in_links in self.blocks:
             worth = 1 + text.count(",") + min(len(text) / 100, 3)
-            up = self.parent[element] if self.tag[element] in TEXT_BLOCK else element
-            level = 0
-            node = element
-            while node >= 0:
-                chars[node] += len(text)
-                linked[node] += in_links
-                node = self.parent[node]
-            while up >= 0:
+            chars[element] += len(text)
+            linked[element] += in_links
+            up = self.above[element] if self.tag[element] in TEXT_BLOCK else element
+            for level in range(LEVELS):
+                if up < 0:
+                    break
                 points[up] += worth / (1 if level == 0 else 2 if level == 1 else 3 * level)
-                up, level = self.parent[up], level + 1
+                up = self.above[up]
+        for i in range(n - 1, 0, -1):  # an element comes after its parent
+            chars[self.parent[i]] += chars[i]
+            linked[self.parent[i]] += linked[i]
         score = [points[i] * (1 - linked[i] / chars[i]) if chars[i] else 0.0 for i in range(n)]
         bonus = {"article": 25, "main": 25, "section": 5, "div": 5}
         total = [score[i] + bonus.get(self.tag[i], 0) if score[i] > 0 else 0.0 for i in range(n)]
