@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gleaner.llm.tables import materialise
+from gleaner.llm.tables import bound_batches, materialise
 
 SAMPLE_ROWS = 8_192  # vectors the coarse index is fitted on
 LISTS = 64
@@ -140,6 +140,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
            lists: int = LISTS, probe_share: float = PROBE_SHARE, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: for every row where ``is_query`` (a column over ``vec_id``), its k nearest found."""
     spark = vectors.sparkSession
+    bound_batches(spark)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = usable(vectors, id_col, vec_col)
     common = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()

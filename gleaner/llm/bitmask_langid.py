@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gleaner.llm.tables import materialise
+from gleaner.llm.tables import bound_batches, materialise
 
 SLOTS = 1 << 20
 HASHES = 3
@@ -138,6 +138,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Filter:
     """The filter of all ``rows`` with a language; every such text is read whole."""
+    bound_batches(rows.sparkSession)
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
     langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     if not langs:
@@ -170,6 +171,7 @@ def _predictions(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Recor
 
 def predict(docs: DataFrame, model: Filter, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of every row of ``docs`` with lang_pred and score; one narrow pass."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     row = F.struct(*[F.col(c) for c in keep]).alias("row")
     kinds = docs.select(row).schema["row"].dataType.simpleString()

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from gleaner.llm.tables import bound_batches
+
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 TAIL_CHARS = 4  # boundaries so near a window's end may still change with what follows
@@ -133,6 +135,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """(doc_id, ids array<int>), a row for every row of ``docs``."""
     if not 0 < overlap <= chunk:
         raise ValueError("the overlap must be positive and at most a chunk")
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
     schema = "doc_id long, ids array<int>"

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gleaner.llm.tables import materialise, total_bytes
+from gleaner.llm.tables import bound_batches, materialise, total_bytes
 
 DEPTH = 5  # context bytes; a gram of DEPTH + 1 bytes must fit a long
 BATCH_BYTES = 32_000_000
@@ -222,6 +222,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, n_bytes, score, bits_per_byte (code length of
     the model, the end byte included)."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     n_batches = 1 + total_bytes(rows, "text") // batch_bytes

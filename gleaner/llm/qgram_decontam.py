@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.tables import bound_batches
+
 Q = 8  # a q-gram is one 64-bit word
 RATE = 0.08  # edits for each character of an item
 CUT, PIECE = 768, 384
@@ -212,6 +214,7 @@ def slices(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", rate: float = RATE,
                slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The columns ``keep`` of every row and ``leaks``: array of (item_id, start, end, edits)."""
+    bound_batches(docs.sparkSession)
     kept = F.struct(*[F.col(c) for c in keep]).alias("row")
     kinds = docs.select(kept).schema["row"].dataType.simpleString()
     out = docs.select(kept, F.col(text_col).cast("string").alias("text"))

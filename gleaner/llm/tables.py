@@ -26,17 +26,27 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = 1_000  # rows of texts sent to a Python worker together; Spark's own default is 10,000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``ARROW_ROWS`` rows, so that a worker's memory follows a thousand texts.
+    Every operator calls it, as the plans it returns run later; results do not depend on it."""
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= ARROW_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(ARROW_ROWS))
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 256):
     """While active, Python stages that run get batches of few rows; for rows that hold whole sets.  Results do
     not depend on it."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(_BATCH_ROWS, before)
 
 
 def drop_scratch(spark: SparkSession) -> None:

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.tables import bound_batches
+
 TABLE_SIZE = 32_768  # entries of the broadcast table
 SUMMARY_SIZE = 8_192  # heaviest pre-tokens each task reports
 COUNTER_SIZE = 400_000  # distinct pre-tokens a task holds before it forgets its rarest
@@ -146,6 +148,7 @@ def _counts(batches: Iterator[pa.RecordBatch], path: str, shared) -> Iterator[pa
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``; two scans, no exchange of texts or
     of their pre-tokens.  ``tokenizer_path`` must exist on every executor."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(rows, "text", tokenizer_path))
     counted = rows.mapInArrow(lambda it: _counts(it, tokenizer_path, table), "doc_id long, n_bytes long, n_tokens long")

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.tables import bound_batches
+
 _MARKUP = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<odd>[!?][^>]*>?)|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)(?:>|\Z))""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 _BARE = re.compile(r"(?:^|\s)hidden(?:\s|$)", re.I)
@@ -244,6 +246,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """The columns ``keep`` of every page with its main ``text`` and ``n_chars``; one narrow pass."""
+    bound_batches(pages.sparkSession)
     row = F.struct(*[F.col(c) for c in keep]).alias("row")
     kinds = pages.select(row).schema["row"].dataType.simpleString()
     out = pages.select(row, F.col(html_col).cast("string").alias("html")).mapInArrow(_texts, f"row {kinds}, text string, n_chars long")
