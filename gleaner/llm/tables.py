@@ -49,6 +49,15 @@ def small_batches(spark: SparkSession, rows: int = 256):
         spark.conf.set(_BATCH_ROWS, before)
 
 
+BROADCAST_ROWS = 1_000_000  # rows of ids (some 24 MB) that may be broadcast
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """``ids`` (a written table of some longs a row), marked for broadcast if it has at most ``BROADCAST_ROWS`` rows;
+    a larger one is joined by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every table this application has written with ``materialise``; call it once the
     results built on them have been written."""
