@@ -95,7 +95,7 @@ def parse_exam(c) -> Column:
 def strip_prefix(c, prefix: str) -> Column:
     """Rest of the string after an exact prefix; null when it does not start with it."""
     c = _col(c)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30))
+    return F.when(c.startswith(prefix), F.substring(c, F.lit(len(prefix) + 1), F.length(c)))
 
 
 def split_list(c, sep: str) -> Column:

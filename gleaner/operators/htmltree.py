@@ -11,6 +11,7 @@ comments kept as nodes.
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 VOID = frozenset(
@@ -37,7 +38,7 @@ SCOPE_BARRIERS = frozenset("ul ol table html body div".split())
 
 
 class _TreeBuilder(HTMLParser):
-    __slots__ = ("kind", "name", "text", "attrs", "parent", "stack", "children")
+    __slots__ = ("kind", "name", "text", "attrs", "parent", "stack", "children", "open")
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -48,6 +49,7 @@ class _TreeBuilder(HTMLParser):
         self.parent = [None]
         self.children = [[]]
         self.stack = [0]
+        self.open = Counter()  # open elements by name
 
     # -- helpers -----------------------------------------------------------
     def _new(self, kind, name, text, attrs):
@@ -62,16 +64,16 @@ class _TreeBuilder(HTMLParser):
         self.children[parent].append(nid)
         return nid
 
-    def _open_names(self):
-        return [self.name[i] for i in self.stack]
-
     def _close_to(self, idx):
+        for i in self.stack[idx:]:
+            self.open[self.name[i]] -= 1
         del self.stack[idx:]
 
     def _close_p(self):
-        names = self._open_names()
-        for i in range(len(names) - 1, 0, -1):
-            n = names[i]
+        if not self.open["p"]:
+            return
+        for i in range(len(self.stack) - 1, 0, -1):
+            n = self.name[self.stack[i]]
             if n == "p":
                 self._close_to(i)
                 return
@@ -83,13 +85,13 @@ class _TreeBuilder(HTMLParser):
         if tag in CLOSES_P:
             self._close_p()
         closes = IMPLIED_END.get(tag)
-        if closes:
-            names = self._open_names()
-            for i in range(len(names) - 1, 0, -1):
-                if names[i] in closes:
+        if closes and any(self.open[x] for x in closes):
+            for i in range(len(self.stack) - 1, 0, -1):
+                n = self.name[self.stack[i]]
+                if n in closes:
                     self._close_to(i)
                     break
-                if names[i] in SCOPE_BARRIERS or names[i] in ("table",):
+                if n in SCOPE_BARRIERS:
                     break
         amap = {}
         for k, v in attrs:
@@ -98,11 +100,13 @@ class _TreeBuilder(HTMLParser):
         nid = self._new("element", tag, None, amap)
         if tag not in VOID:
             self.stack.append(nid)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.stack and self.stack[-1] == len(self.kind) - 1:
-            self.stack.pop()
+        # HTML5 ignores the slash on elements that are not void, but for foreign content
+        if tag not in VOID and (tag in ("svg", "math") or self.open["svg"] or self.open["math"]):
+            self._close_to(len(self.stack) - 1)
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -110,11 +114,11 @@ class _TreeBuilder(HTMLParser):
             return
         if tag in VOID:
             return
-        names = self._open_names()
-        for i in range(len(names) - 1, 0, -1):
-            if names[i] == tag:
-                self._close_to(i)
-                return
+        if self.open[tag]:
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.name[self.stack[i]] == tag:
+                    self._close_to(i)
+                    return
         if tag == "p":  # stray </p> makes an empty paragraph
             self._new("element", "p", None, {})
 
@@ -137,11 +141,12 @@ class _TreeBuilder(HTMLParser):
     def handle_decl(self, decl):
         pass
 
+    # HTML5 keeps these as comments
     def unknown_decl(self, data):
-        pass
+        self._new("comment", None, f"[{data}]", None)
 
     def handle_pi(self, data):
-        pass
+        self._new("comment", None, f"?{data}", None)
 
 
 def _escape_text(s: str) -> str:
@@ -192,7 +197,7 @@ def parse_html(html: str, inner_html_tags=frozenset()) -> dict:
     except Exception as e:  # noqa: BLE001 - any parser failure is data, not a job failure
         b = _TreeBuilder()
         b.kind[0] = "error"
-        b.text[0] = f"{type(e).__name__}: {e}"[:1000]
+        b.text[0] = f"{type(e).__name__}: {e}"
     n = len(b.kind)
     sib_no = [0] * n
     depth = [0] * n

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import parse_exam
-from gleaner.operators.ordering import ordinal_in_group, running_sum, split_hot
 from gleaner.presets import ExamPreset
 
 
@@ -91,67 +90,15 @@ def _as_written(opt: DataFrame, keys, order_col: str) -> DataFrame:
     )
 
 
-def _skew_safe(t: DataFrame, keys, order_col: str, text_col: str, mode: str, preset: ExamPreset):
-    """Hot-group path: the same result from running sums, ordinals and aggregates that never
-    put a whole group in one task (``ordering.running_sum`` / ``ordinal_in_group``)."""
-    t = mark_tokens(t, text_col, preset).withColumn("_and", F.col("is_and").cast("int")).withColumn(
-        "_or", F.col("is_or").cast("int"))
-    t = running_sum(t, keys, [order_col], "_and", "block", inclusive=False)
-    firsts = t.groupBy(*keys, "block").agg(
-        F.min_by(F.struct(F.col(order_col).alias("o"), F.col(text_col).alias("x")), F.col(order_col)).alias("_f"))
-    t = t.join(firsts, keys + ["block"], "inner")
-    first_text = F.col("_f.x")
-    t = t.withColumn(
-        "stage",
-        F.when(first_text == F.lit(preset.single_choice), F.lit("single"))
-        .when(first_text == F.lit(preset.group_choice), F.lit("group"))
-        .otherwise(F.lit("mandatory")),
-    ).withColumn("first_in_block", F.col(order_col) == F.col("_f.o"))
-    t = running_sum(t, keys + ["block"], [order_col], "_or", "or_count", inclusive=True)
-    is_header = F.col("first_in_block") & (F.col("stage") != "mandatory")
-    t = t.withColumn("exam", F.when(~F.col("is_and") & ~F.col("is_or") & ~is_header, parse_exam(F.col(text_col))))
-    t = t.filter(F.col("exam").isNotNull()).withColumn(
-        "group_key",
-        F.when(F.col("stage") == "single", F.col(order_col).cast("long")).otherwise(F.col("or_count").cast("long")),
-    )
-    mand = ordinal_in_group(t.filter(F.col("stage") == "mandatory"), keys, [order_col], "_n").select(
-        *keys, (F.col("_n") - 1).alias("pos"), F.col("exam.code").alias("code"), F.col("exam.name").alias("name"))
-    opt = t.filter(F.col("stage") != "mandatory")
-    if mode == "as_written":
-        return _as_written(opt, keys, order_col), mand
-    conj = ordinal_in_group(opt.select(*keys, "block").distinct(), keys, ["block"], "_c")
-    grp = ordinal_in_group(opt.select(*keys, "block", "group_key").distinct(), keys + ["block"], ["group_key"], "_g")
-    pos = ordinal_in_group(opt, keys + ["block", "group_key"], [order_col], "_p")
-    out = pos.join(conj, keys + ["block"], "inner").join(grp, keys + ["block", "group_key"], "inner")
-    return out.select(
-        *keys, (F.col("_c") - 1).alias("conjunct_no"), (F.col("_g") - 1).alias("group_no"), (F.col("_p") - 1).alias("pos"),
-        F.col("exam.code").alias("code"), F.col("exam.name").alias("name"),
-    ), mand
-
-
-# a group (one page's exam section, one conversation) above this many tokens takes the
-# skew-safe path; ordinary documents keep the cheaper window path
-HOT_GROUP_ROWS = 5_000_000
-
-
 def exam_requirements(tokens: DataFrame, keys, order_col: str, text_col: str = "text", mode: str = "intended",
-                      preset: ExamPreset = ExamPreset(), hot_group_rows: int = HOT_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+                      preset: ExamPreset = ExamPreset()) -> tuple[DataFrame, DataFrame]:
     """EXM6/EXM7: (optional_flat, mandatory_flat); empty groups and conjuncts vanish.
 
-    Groups are split by size first: ordinary ones use windows, hot ones (more than
-    ``hot_group_rows`` tokens) use the skew-safe path; both give the same rows."""
+    Windows over one key's tokens: a key is a page's exam section, which Spark sorts and spills
+    like any window partition."""
     if mode not in ("intended", "as_written"):
         raise ValueError(f"unknown mode {mode!r}")
-    keys = list(keys)
-    normal, hot = split_hot(tokens, keys, hot_group_rows)
-    opt_n, man_n = _windowed(normal, keys, order_col, text_col, mode, preset)
-    # runtime plan choice (like AQE's): build the skew-safe branch only when a hot group
-    # exists; the check is one partial aggregate whose answer is a single row at most
-    if hot.limit(1).count() == 0:
-        return opt_n, man_n
-    opt_h, man_h = _skew_safe(hot, keys, order_col, text_col, mode, preset)
-    cols_o, cols_m = opt_n.columns, man_n.columns
-    return opt_n.unionByName(opt_h.select(*cols_o)), man_n.unionByName(man_h.select(*cols_m))
+    return _windowed(tokens, list(keys), order_col, text_col, mode, preset)
 
 
 def nest_optional(optional_flat: DataFrame, keys) -> DataFrame:

@@ -1,7 +1,7 @@
 """Batch job: page snapshots -> catalogue tables (spark-submit entry point).
 
     spark-submit gleaner/plans/job.py --pages <parquet dir> --out <dir> [--source selection.csv]
-        [--mode intended|as_written] [--charset-column content_type --body-column body]
+        [--mode intended|as_written]
 
 Without ``--source`` the whole guide is crawled from the seed page; with it only the selected
 course pages are parsed.  Writes one folder per table (full refresh), ``violations`` and the
@@ -32,6 +32,9 @@ def run(spark: SparkSession, pages_path: str, out: str, source: str | None = Non
     selection = read_selection(spark, source) if source else None
     result = catalogue_from_pages(pages, selection=selection, mode=mode)
     write_catalogue(result["tables"], out, mode="overwrite")
+    for name in ("unknown_headers", "unknown_fields", "parse_errors"):
+        if result.get(name) is not None:
+            result[name].write.mode("overwrite").parquet(f"{out}/_{name}")
     result["violations"].write.mode("overwrite").parquet(f"{out}/_violations")
     result["view"].write.mode("overwrite").parquet(f"{out}/expanded_course_institution")
     return result

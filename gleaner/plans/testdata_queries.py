@@ -223,14 +223,14 @@ def q_allow_domains(spark, sf):
 
 
 @query("q_crawl_plan", f"""
-SELECT page_id, host, row_number() OVER (PARTITION BY host ORDER BY page_id) AS host_ord,
+SELECT page_id, url, host, row_number() OVER (PARTITION BY host ORDER BY page_id) AS host_ord,
        (row_number() OVER (PARTITION BY host ORDER BY page_id) - 1) * 10 AS offset_s
-FROM (SELECT page_id, {_SQL_HOST} AS host FROM pages)""")
+FROM (SELECT page_id, url, {_SQL_HOST} AS host FROM pages)""")
 def q_crawl_plan(spark, sf):
     """LNK8: per-host request schedule under a fixed 10 s delay (skew-safe per-host ordinal)."""
     p = _t(spark, sf, "pages").select("page_id", "url")
     return crawl_plan(p, "url", ["page_id"], 10).select(
-        "page_id", "host", F.col("host_ord").cast("long").alias("host_ord"), "offset_s"
+        "page_id", "url", "host", F.col("host_ord").cast("long").alias("host_ord"), "offset_s"
     )
 
 
@@ -681,11 +681,10 @@ def q_bridge(spark, sf):
 
 
 @query("q_rowid", """
-SELECT p_brand, row_number() OVER (ORDER BY min(p_partkey)) AS rowid FROM part GROUP BY p_brand""")
+SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rowid FROM orders""")
 def q_rowid(spark, sf):
     """NRM10: surrogate keys by first appearance (skew-safe global ordinal, no single-task window)."""
-    firsts = _t(spark, sf, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("first_key"))
-    return with_rowid(firsts, ["first_key"]).select("p_brand", "rowid")
+    return with_rowid(_t(spark, sf, "orders"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_totalprice", "rowid")
 
 
 # --------------------------------------------------------------------------- integrity (INT) and joins (JON)

@@ -41,7 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` is a static setting read when the context starts; we
     only read it.  When a session has none (tests, local bench) a scratch folder is
-    registered with ``setCheckpointDir``."""
+    registered with ``setCheckpointDir``; off local mode an unset folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -50,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -61,13 +63,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the input over the cluster's cores *only* when it arrives in fewer
-    partitions than that (a single-row-group file); used before CPU-heavy per-row stages
-    (HTML parsing, whole-text regex).  On a large table scan this is a no-op."""
+    """Round-robin a small input over the cluster's cores: one that is read from fewer files than
+    there are cores.  Used before CPU-heavy per-row stages (HTML parsing, whole-text regex).  Only the
+    scans' file lists are looked at, nothing of the plan runs; an input of many files, or of no file, is
+    left as it is."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df.repartition(target) if 0 < len(df.inputFiles()) < target else df
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back: what it holds, partition
+    numbers included, is then fixed however often and with whichever columns it is read."""
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, tag: str = "table",

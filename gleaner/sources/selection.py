@@ -20,6 +20,11 @@ def read_selection(spark: SparkSession, path: str, cols=SELECTION_COLUMNS) -> Da
         .option("mode", "FAILFAST")
         .option("inferSchema", False)
         .option("enforceSchema", False)
+        # every column is parsed, or a record with too many or too few cells would pass unseen
+        .option("columnPruning", False)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("pathGlobFilter", "*.csv")
         .csv(path)
     )

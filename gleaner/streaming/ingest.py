@@ -11,20 +11,20 @@ not replace a stored one.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.operators.normalise import first_wins
-from gleaner.session import checkpoint_dir, co_partition_by_prefix, cut_lineage
+from gleaner.session import co_partition_by_prefix, cut_lineage
 
 
 def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     try:
         r = spark.read.schema(schema) if schema is not None else spark.read
         return r.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a target that is not there yet counts as empty
+            raise
         return None
 
 
@@ -41,10 +41,9 @@ def ingest_available(spark: SparkSession, source_dir: str, schema, target: str,
                      checkpoint: str | None = None, files_per_batch: int | None = None) -> None:
     """STR1: process every file landed in ``source_dir`` since the last run
     (``trigger(availableNow=True)``), one ``foreachBatch`` insert-if-absent per micro-batch.
-    The checkpoint (under the shared checkpoint folder) records which files are done."""
+    The checkpoint (beside the target's files unless given) records which files are done, for this target."""
     if checkpoint is None:
-        digest = hashlib.sha1(f"{source_dir}|{target}".encode()).hexdigest()[:16]
-        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/stream-{digest}"
+        checkpoint = f"{target.rstrip('/')}/_checkpoint"
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -4,7 +4,8 @@
         --out <catalogue dir> [--checkpoint <dir>] [--mode intended|as_written]
 
 Processes every snapshot file landed since the last run (``trigger(availableNow=True)``) and
-inserts what is new into the catalogue tables; run it again whenever files have landed.
+inserts what is new into the catalogue tables; run it again whenever files have landed.  Progress is
+kept in ``<out>/_checkpoint`` unless ``--checkpoint`` names a folder, so each output has its own.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from gleaner.session import checkpoint_dir, ship_package
+from gleaner.session import ship_package
 from gleaner.streaming.ingest import ingest_pages
 
 PAGE_SCHEMA = T.StructType([
@@ -27,8 +28,7 @@ PAGE_SCHEMA = T.StructType([
 
 def run(spark: SparkSession, landing: str, out: str, checkpoint: str | None = None, mode: str = "intended") -> None:
     ship_package(spark)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/catalogue-stream"
-    ingest_pages(spark, landing, PAGE_SCHEMA, out, ckpt, mode)
+    ingest_pages(spark, landing, PAGE_SCHEMA, out, checkpoint or f"{out.rstrip('/')}/_checkpoint", mode)
 
 
 def main(argv=None) -> None:

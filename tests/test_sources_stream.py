@@ -75,6 +75,65 @@ def test_skew_safe_ordinals(spark):
     assert glob.filter(F.col("n") == F.col("o") + 1).count() == 6000
 
 
+def test_ordinals_of_many_rows_with_other_columns(spark):
+    """A kept column outside the order must not change the layout the counts were taken from."""
+    from pyspark.sql import Window
+
+    df = spark.range(0, 1_000_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 1_000_000).alias("o"), F.sha1(F.col("id").cast("string")).alias("kept"))
+    glob = global_ordinal(df, ["o"], "n")
+    assert glob.where("n <> o + 1").count() == 0 and glob.count() == 1_000_000
+    got = ordinal_in_group(df, ["g"], ["o"], "n")
+    want = df.withColumn("m", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert got.join(want, ["g", "o", "kept"]).where("n = m").count() == 1_000_000
+
+
+def test_selection_fails_on_ragged_rows_and_reads_quotes(spark, scratch):
+    from gleaner.sources.selection import read_selection
+
+    def read(text):
+        import os
+        import uuid
+
+        path = f"{scratch}/{uuid.uuid4().hex}"
+        os.makedirs(path)
+        with open(f"{path}/s.csv", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+        return [(r.institution_code, r.course_code) for r in read_selection(spark, path).collect()]
+
+    head = "institution_code,course_code,extra\n"
+    assert read(head + '"0\n1","a ""b""",x\n') == [("0\n1", 'a "b"')]
+    for bad in ("4,5\n", "6,7,8,9\n"):
+        with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+            read(head + "1,2,3\n" + bad)
+
+
+def test_only_a_missing_target_is_empty(spark, scratch):
+    import os
+
+    from gleaner.streaming.ingest import read_target
+
+    assert read_target(spark, f"{scratch}/none") is None
+    os.makedirs(f"{scratch}/bad")
+    with open(f"{scratch}/bad/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):  # noqa: B017 - any reader error but not silence
+        read_target(spark, f"{scratch}/bad").count()
+
+
+def test_tree_builder_is_linear_and_keeps_odd_markup():
+    import time
+
+    from gleaner.operators.htmltree import parse_html
+
+    started = time.time()
+    parse_html("<b>" * 20_000 + "<p>x" * 20_000)
+    assert time.time() - started < 5
+    nodes = parse_html("a<?xml x?>b<div/>c")
+    assert "comment" in str(nodes)
+
+
 def test_route_allow_and_crawl_plan(spark):
     from gleaner.operators.links import allow_domains, crawl_plan, route_pages
     from gleaner.presets import COURSE_LINK_CONTAINS, LETTER_LINK_CONTAINS
