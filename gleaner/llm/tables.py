@@ -99,7 +99,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         e = materialise(
