@@ -63,11 +63,14 @@ class ByteLevelCounter:
         # code points that Unicode versions may class differently: unassigned or private ones, and the
         # ASCII separators that some engines count as white space
         self.doubtful = regex.compile(r"[\p{Cn}\p{Co}\x1c-\x1f\x85᠎]|[^\x00-\U0001ffff]")
+        self.plain: set[str] = set()
 
     def pieces(self, text: str) -> tuple[Counter, int] | None:
         """Pre-tokens with their counts and the number of special tokens; None: encode it whole."""
-        if not text.isascii() and self.doubtful.search(text) or text.isascii() and any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return None
+        for c in set(text) - self.plain:  # each character is looked at once in a worker's life
+            if self.doubtful.match(c):
+                return None
+            self.plain.add(c)
         if self.specials is None or not self.specials.search(text):
             return Counter(self.split(text)), 0
         parts = self.specials.split(text)
