@@ -8,6 +8,10 @@ overall are encoded once.  Tier two is a bounded cache inside each Python worker
 Both tiers are about speed only: a pre-token in neither is encoded by the library, so the counts
 never depend on what the tables hold.
 
+No pre-token reaches from other characters into white space, so every step from the one to the other ends a
+pre-token.  Texts are cut there first, into words with the white space before them, and only the
+distinct words of a slice are split into pre-tokens; a worker also remembers the sums of the words it has met.
+
 Defined cases: null text is the empty text (0 bytes, 0 tokens); special strings inside a text
 count as the library counts them by default (one special token); texts that hold a character
 the installed regex and tokenizer libraries may classify differently go whole through the
@@ -19,6 +23,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +36,7 @@ from gleaner.llm.tables import bound_batches
 TABLE_SIZE = 32_768  # entries of the broadcast table
 SUMMARY_SIZE = 8_192  # heaviest pre-tokens each task reports
 COUNTER_SIZE = 400_000  # distinct pre-tokens a task holds before it forgets its rarest
-CACHE_SIZE = 300_000  # entries of a worker's cache
+CACHE_SIZE = 300_000  # entries of a worker's cache, of pre-tokens and of words
 CACHED_CHARS = 64  # longer pre-tokens are encoded but not kept
 SLICE_CHARS = 1_000_000  # texts handled together
 
@@ -39,6 +44,10 @@ SLICE_CHARS = 1_000_000  # texts handled together
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: A word with the white space before it; the white space at the end of a text.
+WORD = re.compile(r"\s*\S+|\s+")
+
+
 class ByteLevelCounter:
     """The tokenizer of one worker with its cache, the special strings and the split pattern."""
 
@@ -65,19 +74,16 @@ class ByteLevelCounter:
         self.doubtful = regex.compile(r"[\p{Cn}\p{Co}\x1c-\x1f\x85᠎]|[^\x00-\U0001ffff]")
         self.plain: set[str] = set()
 
-    def pieces(self, text: str) -> tuple[Counter, int] | None:
-        """Pre-tokens with their counts and the number of special tokens; None: encode it whole."""
+    def words(self, text: str) -> tuple[list[str], int] | None:
+        """Words of the text and the number of special tokens; None: encode it whole."""
         for c in set(text) - self.plain:  # each character is looked at once in a worker's life
             if self.doubtful.match(c):
                 return None
             self.plain.add(c)
         if self.specials is None or not self.specials.search(text):
-            return Counter(self.split(text)), 0
+            return WORD.findall(text), 0
         parts = self.specials.split(text)
-        found: Counter = Counter()
-        for part in parts:
-            found.update(self.split(part))
-        return found, len(parts) - 1
+        return [w for part in parts for w in WORD.findall(part)], len(parts) - 1
 
     def lengths(self, pieces: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
@@ -88,13 +94,28 @@ def _counter(path: str) -> ByteLevelCounter:
     return ByteLevelCounter(path)
 
 
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts, about ``SLICE_CHARS`` characters together."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= SLICE_CHARS or i == len(texts) - 1:
+            yield texts[lo:i + 1]
+            lo, size = i + 1, 0
+
+
 def _summaries(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     counter, found = _counter(path), Counter()
     for batch in batches:
-        for text in batch.column(0):
-            got = counter.pieces(text.as_py() or "")
-            if got is not None:
-                found.update(got[0])
+        for texts in _slices([t.as_py() or "" for t in batch.column(0)]):
+            words: Counter = Counter()
+            for text in texts:
+                got = counter.words(text)
+                if got is not None:
+                    words.update(got[0])
+            for word, n in words.items():
+                for p in counter.split(word):
+                    found[p] += n
             if len(found) > COUNTER_SIZE:
                 found = Counter(dict(found.most_common(COUNTER_SIZE // 2)))
     top = [(p, n) for p, n in found.most_common(SUMMARY_SIZE) if len(p) <= CACHED_CHARS]
@@ -111,25 +132,33 @@ def frequent_pieces(docs: DataFrame, text: str, path: str) -> dict[str, int]:
     return dict(zip(pieces, _counter(path).lengths(pieces), strict=True))
 
 
-#: The worker's cache: tier one and what this worker has encoded since, by tokenizer file.
-_CACHE: dict[str, dict[str, int]] = {}
+class _Cache:
+    """A worker's lengths of pre-tokens (tier one and what this worker has encoded since) and of words."""
+
+    def __init__(self, table: dict[str, int]):
+        self.pieces, self.words = dict(table), {}
+
+
+_CACHES: dict[str, _Cache] = {}  # by tokenizer file
 
 
 def _count_slice(texts: list[str], path: str, table: dict[str, int]) -> list[int]:
     counter = _counter(path)
-    known = _CACHE.get(path)
-    if known is None or len(known) > TABLE_SIZE + CACHE_SIZE:
-        known = _CACHE[path] = dict(table)
-    split = [counter.pieces(t) for t in texts]
-    missing = list({p for s in split if s is not None for p in s[0] if p not in known})
+    cache = _CACHES.get(path)
+    if cache is None or max(len(cache.pieces) - TABLE_SIZE, len(cache.words)) > CACHE_SIZE:
+        cache = _CACHES[path] = _Cache(table)
+    found = [counter.words(t) for t in texts]
+    new = {w: counter.split(w) for w in {w for f in found if f is not None for w in f[0]} - cache.words.keys()}
+    missing = list({p for pieces in new.values() for p in pieces} - cache.pieces.keys())
     own = dict(zip(missing, counter.lengths(missing), strict=True)) if missing else {}
-    out = []
-    for t, s in zip(texts, split, strict=True):
-        if s is None:
-            out.append(len(counter.tokenizer.encode(t, add_special_tokens=False).ids))
-        else:
-            out.append(s[1] + sum(k * (known[p] if p in known else own[p]) for p, k in s[0].items()))
-    known.update((p, n) for p, n in own.items() if len(p) <= CACHED_CHARS)
+    cache.pieces.update(own)
+    cache.words.update((w, sum(map(cache.pieces.__getitem__, pieces))) for w, pieces in new.items())
+    out = [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) if f is None else f[1] + sum(map(cache.words.__getitem__, f[0]))
+           for t, f in zip(texts, found, strict=True)]
+    for held, fresh in ((cache.pieces, own), (cache.words, new)):  # long ones are not kept
+        for key in fresh:
+            if len(key) > CACHED_CHARS:
+                del held[key]
     return out
 
 
@@ -137,13 +166,7 @@ def _counts(batches: Iterator[pa.RecordBatch], path: str, shared) -> Iterator[pa
     table = shared.value
     for batch in batches:
         texts = [t.as_py() or "" for t in batch.column(1)]
-        counts: list[int] = []
-        lo, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= SLICE_CHARS or i == len(texts) - 1:
-                counts += _count_slice(texts[lo:i + 1], path, table)
-                lo, size = i + 1, 0
+        counts = [n for part in _slices(texts) for n in _count_slice(part, path, table)]
         yield pa.record_batch({"doc_id": batch.column(0), "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()),
                                "n_tokens": pa.array(counts, pa.int64())})
 
