@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,30 +82,60 @@ def total_bytes(df: DataFrame, col: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(col)))).first()[0] or 0
 
 
+FOREST_NODES = 500_000  # nodes a task holds while it contracts edges
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one task as stars: each node with the smallest node the task knows it to be connected with.
+    At most about ``FOREST_NODES`` nodes are held; then the stars so far are emitted and the next begin."""
+    up: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while (j := up.setdefault(i, i)) != i:
+            up[i] = up[j]
+            i = j
+        return i
+
+    def stars() -> pa.RecordBatch:
+        edges = [(i, r) for i in list(up) if (r := root(i)) != i]
+        up.clear()
+        return pa.record_batch({"u": pa.array([i for i, _ in edges], pa.int64()), "v": pa.array([r for _, r in edges], pa.int64())})
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            u, v = root(u), root(v)
+            if u != v:
+                up[max(u, v)] = min(u, v)
+        if len(up) > FOREST_NODES:
+            yield stars()
+    if up:
+        yield stars()
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of an undirected edge table (longs): (node, component), the
     component being its smallest node.  Nodes without an edge do not appear.
 
-    Alternates large-star and small-star steps (each a min-aggregate and a join on the node),
-    which converge in a logarithmic number of rounds; every round is a written table and the
-    driver sees only a count and a checksum."""
-    e = materialise(
-        edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
-        .where("u <> v").distinct(), "edges")
-    before = None
+    Every round contracts the edges of each task among themselves, where they are read, and is done when these stars
+    agree (a node has one centre, which has none).  Else it takes a large-star and a small-star step (each a
+    min-aggregate and a join on the node), which converge in a logarithmic number of rounds.  Every round
+    is a written table, and the driver sees only whether one disagrees."""
+    e = materialise(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
+                    .mapInArrow(_contract, "u long, v long"), "edges")
     while True:
-        n, check = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if n == 0 or (n, check) == before:
-            break
-        before = (n, check)
+        # of each node: its smallest and largest centre, and whether it is one itself
+        ends = (e.select(F.col("u").alias("node"), "v", F.lit(0).alias("centre")).union(e.select("v", F.lit(None).cast("long"), F.lit(1)))
+                .groupBy("node").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.max("centre").alias("centre")))
+        ends = materialise(ends, "ends")
+        if ends.where("lo <> hi or (lo is not null and centre = 1)").isEmpty():
+            return ends.select("node", F.coalesce("lo", "node").alias("component"))
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        e = materialise(
+        e = materialise(materialise(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
-    return (e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-            .union(e.select("v", "v").distinct()))
+            .union(small.select("u", F.col("m").alias("v"))).where("u <> v"), "edges")
+            .mapInArrow(_contract, "u long, v long"), "edges")
