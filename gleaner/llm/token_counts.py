@@ -9,8 +9,8 @@ Both tiers are about speed only: a pre-token in neither is encoded by the librar
 never depend on what the tables hold.
 
 No pre-token reaches from other characters into white space, so every step from the one to the other ends a
-pre-token.  Texts are cut there first, into words with the white space before them, and only the
-distinct words of a slice are split into pre-tokens; a worker also remembers the sums of the words it has met.
+pre-token.  Texts are cut there first, into words with the white space before them, and only
+distinct words are split into pre-tokens; a worker also remembers the sums of the words it has met.
 
 Defined cases: null text is the empty text (0 bytes, 0 tokens); special strings inside a text
 count as the library counts them by default (one special token); texts that hold a character
@@ -35,8 +35,8 @@ from gleaner.llm.tables import bound_batches
 
 TABLE_SIZE = 32_768  # entries of the broadcast table
 SUMMARY_SIZE = 8_192  # heaviest pre-tokens each task reports
-COUNTER_SIZE = 400_000  # distinct pre-tokens a task holds before it forgets its rarest
-CACHE_SIZE = 300_000  # entries of a worker's cache, of pre-tokens and of words
+COUNTER_SIZE = 400_000  # distinct words a task holds before it splits them, and pre-tokens before it forgets its rarest
+CACHE_SIZE = 1_000_000  # entries of a worker's cache, of pre-tokens and of words
 CACHED_CHARS = 64  # longer pre-tokens are encoded but not kept
 SLICE_CHARS = 1_000_000  # texts handled together
 
@@ -105,19 +105,25 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    counter, found = _counter(path), Counter()
+    counter, words, found = _counter(path), Counter(), Counter()
+
+    def split_words() -> None:
+        nonlocal found
+        for word, n in words.items():
+            for p in counter.split(word):
+                found[p] += n
+        words.clear()
+        if len(found) > COUNTER_SIZE:
+            found = Counter(dict(found.most_common(COUNTER_SIZE // 2)))
+
     for batch in batches:
-        for texts in _slices([t.as_py() or "" for t in batch.column(0)]):
-            words: Counter = Counter()
-            for text in texts:
-                got = counter.words(text)
-                if got is not None:
-                    words.update(got[0])
-            for word, n in words.items():
-                for p in counter.split(word):
-                    found[p] += n
-            if len(found) > COUNTER_SIZE:
-                found = Counter(dict(found.most_common(COUNTER_SIZE // 2)))
+        for text in batch.column(0):
+            got = counter.words(text.as_py() or "")
+            if got is not None:
+                words.update(got[0])
+            if len(words) > COUNTER_SIZE:
+                split_words()
+    split_words()
     top = [(p, n) for p, n in found.most_common(SUMMARY_SIZE) if len(p) <= CACHED_CHARS]
     yield pa.record_batch({"piece": pa.array([p for p, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
 
