@@ -36,8 +36,10 @@ MIN_COUNT = 2
 WORD_BITS = 62  # language bits in one word of the filter
 FLUSH_BYTES = 4_000_000
 
-#: odd multipliers of the slot hashes
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+SLICE_GRAMS = 1_000_000  # grams of a text looked up at once
+
+#: odd multipliers of the slot hashes, below 2^31, so that their products with a gram fit a long
+MULTIPLIERS = (0x61C88647, 0x27D4EB2F, 0x165667B1)
 
 
 @functools.lru_cache(maxsize=1)
@@ -103,16 +105,17 @@ class Filter:
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """Corrected number of grams found, by language."""
-        slots = [slots_of(grams, k) for k in range(HASHES)]
         hits = np.zeros(len(self.langs))
-        for group in range(self.words.shape[0]):
-            w = self.words[group]
-            mask = w[slots[0]]
-            for s in slots[1:]:
-                mask = mask & w[s]
-            masks, n = np.unique(mask, return_counts=True)
-            for i in range(group * WORD_BITS, min(len(self.langs), (group + 1) * WORD_BITS)):
-                hits[i] = n[(masks >> np.uint64(i % WORD_BITS)) & np.uint64(1) == 1].sum()
+        for lo in range(0, len(grams), SLICE_GRAMS):
+            slots = [slots_of(grams[lo:lo + SLICE_GRAMS], k) for k in range(HASHES)]
+            for group in range(self.words.shape[0]):
+                w = self.words[group]
+                mask = w[slots[0]]
+                for s in slots[1:]:
+                    mask = mask & w[s]
+                masks, n = np.unique(mask, return_counts=True)
+                for i in range(group * WORD_BITS, min(len(self.langs), (group + 1) * WORD_BITS)):
+                    hits[i] += n[(masks >> np.uint64(i % WORD_BITS)) & np.uint64(1) == 1].sum()
         return np.maximum(hits - len(grams) * self.false_rate, 0) / (1 - self.false_rate)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -124,16 +127,17 @@ class Filter:
         return self.langs[best], float(got[best] / total) if total > 0 else 0.0
 
 
+_SLOT_SHIFT = 32 - SLOTS.bit_length() + 1
+
+
 def slots_of(grams: np.ndarray, k: int) -> np.ndarray:
-    return ((grams.astype(np.uint64) * np.uint64(MULTIPLIERS[k])) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+    """The k-th slot of each gram: the top bits of its 32-bit product."""
+    return (grams.astype(np.uint32) * np.uint32(MULTIPLIERS[k])) >> np.uint32(_SLOT_SHIFT)
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, word, mask) to (word, slot, mask), a row for each of a gram's slots."""
-    for b in batches:
-        g = b.column(0).to_numpy(zero_copy_only=False)
-        for k in range(HASHES):
-            yield pa.record_batch({"word": b.column(1), "slot": pa.array(slots_of(g, k)), "mask": b.column(2)})
+def _slot_column(k: int):
+    """``slots_of`` as a column."""
+    return F.shiftright((F.col("gram") * F.lit(MULTIPLIERS[k])).bitwiseAND(0xFFFFFFFF), _SLOT_SHIFT)
 
 
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Filter:
@@ -155,7 +159,8 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Fi
     masks = (rated.where((F.col("rate") >= KEEP_RATIO * F.col("top")) & (F.col("n") >= MIN_COUNT))
              .groupBy("gram", F.floor(F.col("i") / WORD_BITS).cast("int").alias("word"))
              .agg(F.expr(f"bit_or(shiftleft(1L, i % {WORD_BITS}))").alias("mask")))
-    filled = (masks.mapInArrow(_slots, "word int, slot long, mask long").groupBy("word", "slot").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())
+    filled = (masks.select("word", "mask", F.explode(F.array(*[_slot_column(k) for k in range(HASHES)])).alias("slot"))
+              .groupBy("word", "slot").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())
     words = np.zeros((-(-len(langs) // WORD_BITS), SLOTS), np.uint64)
     words[filled.column("word").to_numpy(), filled.column("slot").to_numpy()] = filled.column("mask").to_numpy().astype(np.uint64)
     return Filter(langs, words)
