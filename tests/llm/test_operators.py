@@ -103,15 +103,17 @@ def sequential_ctw(train: list[bytes], texts: list[bytes], depth: int) -> list[f
     return [sum(math.log10(p1(c, n) if bit else 1 - p1(c, n)) for c, n, bit in bits(t)) for t in texts]
 
 
-def test_context_tree_scores(spark, docs):
+@pytest.mark.parametrize("depth, bucket", [(2, 250_000), (4, 300), (5, 250_000)])
+def test_context_tree_scores(spark, docs, monkeypatch, depth, bucket):
+    monkeypatch.setattr(ctw, "BUCKET_GRAMS", bucket)
     small = docs.where("text is null or length(text) < 500")
-    got = ctw.score(small, held_out("doc_id", 5, 1), depth=2, batch_bytes=2_000).collect()
+    got = ctw.score(small, held_out("doc_id", 5, 1), depth=depth, batch_bytes=2_000).collect()
     rows = small.collect()
     assert len(got) == len(rows)
     low = [((r.text or "").encode().lower(), r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 1) for r in rows]
     c = collections.Counter(w for t, h in low if not h for w in [*t.split(), b""])
     n, v = sum(c.values()), len(c)
-    scores = sequential_ctw([t for t, h in low if not h], [t for t, _ in low], 2)
+    scores = sequential_ctw([t for t, h in low if not h], [t for t, _ in low], depth)
     want = sorted((str(r.doc_id), h, len(t.split()) + 1, sum(c[w] > 0 for w in [*t.split(), b""]), n,
                    round(sum(math.log10((c[w] + .5) / (n + .5 * (v + 1))) for w in [*t.split(), b""]), 6), round(s, 6)) for r, (t, h), s in zip(rows, low, scores, strict=True))
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == want
