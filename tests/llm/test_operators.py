@@ -178,6 +178,30 @@ def test_main_text(spark):
     assert collected(got, "page_id", "text", "n_chars") == sorted(((i, t, len(t)) for i, (_, t) in enumerate(PAGES) for _ in range(2)), key=str)
 
 
+STORY = "The river rose, and the town, which had waited, moved its lamps."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><div class='content has-sidebar'><p>{STORY}</p></div>", STORY),
+    (f"<body><div class='layout with-header'><p>{STORY}</p></div>", STORY),
+    (f"<body><form id='aspnetForm'><div><p>{STORY}</p></div></form>", STORY),
+    (f"<body><form><nav><a href=/>Home</a></nav><div id='c'><p>{STORY}</p><p>{STORY}</p></div><div class='sidebar'><p>Menu</p></div></form><p>(c)</p>", f"{STORY} {STORY}"),
+    ("<article><p>One.</p><section id='discussion'><h2>Discussion</h2><p>Two.</p></section></article>", "One. Discussion Two."),
+    ("<article><h2 id='related-work'>Related work</h2><p>One.</p><h2 id='search'>Search</h2><p>Two.</p></article>", "Related work One. Search Two."),
+    ("<article><div class='article-header'><h1>Title</h1></div><p>One.</p></article>", "Title One."),
+    ("<article><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be.</p></article>", "Let x be."),
+    (f"<div class='sidebar'><article><p>{STORY}</p></article></div>", STORY),
+    (f"<div class='footer'><p>{STORY}</p></div>", STORY),
+    (f"<div class='sidebar'><p>{STORY}</p></div>", STORY),
+    (f"<dialog open><p>{STORY}</p></dialog>", STORY),
+    (f"<div id='c'><h1>T</h1><p>{STORY}</p></div><div class='site-footer'><p>Imprint</p></div><div id='comments'><article class='comment'><p>{STORY} {STORY}</p></article></div>", f"T {STORY}"),
+    ("<article><p>One.</p><div class='related'><ul><li><a href=/>Other</a></li></ul></div><div class='comment-list'><p>Me, too.</p></div></article>", "One."),
+    ("<body><nav><a href=/>Home</a></nav>", ""),
+])
+def test_main_text_keeps_marked_wrappers(page, want):
+    assert tree_extract.main_text(page) == want
+
+
 def test_main_text_is_linear():
     deep = "<div>" * 3_000 + "<p>x</p>" + "<b>" * 3_000 + "<p>y" * 3_000
     assert tree_extract.main_text(deep).startswith("x y y")
