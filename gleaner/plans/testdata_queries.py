@@ -244,9 +244,15 @@ _CP = "".join(f"chr({ord(c)})" + (" || " if i < len(CP1252_HIGH) - 1 else "") fo
 SELECT doc_id, translate(text, {_C1}, {_CP}) AS decoded
 FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\xff]')""")
 def q_charset_decode(spark, sf):
-    """SRC4 + SRC5: single-byte documents as text/html bodies -> windows-1252 decode."""
-    d = spread(_t(spark, sf, "documents")).filter(~F.col("text").rlike(r"[^\x00-\xff]"))
-    pages = d.select("doc_id", F.encode("text", "ISO-8859-1").alias("body"), F.lit("text/html").alias("content_type"))
+    """SRC4 + SRC5: every document as a body: windows-1252 under text/html where the text fits
+    into single bytes, else UTF-8 under its own charset parameter; a null text has a null body."""
+    d = spread(_t(spark, sf, "documents"))
+    wide = F.col("text").rlike(r"[^\x00-\xff]")
+    pages = d.select(
+        "doc_id",
+        F.when(wide, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1")).alias("body"),
+        F.when(wide, F.lit("text/html; charset=utf-8")).otherwise(F.lit("text/html")).alias("content_type"),
+    )
     return decode_body(with_charset(pages)).select("doc_id", F.col("html").alias("decoded"))
 
 

@@ -156,3 +156,12 @@ def test_route_allow_and_crawl_plan(spark):
     dges = sorted(v[1] for k, v in plan.items() if v[0] == "dges.gov.pt")
     assert dges == [10 * i for i in range(33)]  # one host, one request every 10 s, in seq order
     assert plan[4] == ("www.dges.gov.pt", 0) and plan[5] == ("evil.example", 0)
+
+
+def test_charset_query_decodes_every_document(spark, scratch):
+    from gleaner.plans.testdata_queries import q_charset_decode
+
+    rows = [(1, "plain"), (2, "caf\u00e9 \u0080\u0093"), (3, "\u201cquoted\u201d \u2013 na\u00efve"), (4, "\u6f22\u5b57 \U0001f600"), (5, None), (6, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: r.decoded for r in q_charset_decode(spark, scratch).collect()}
+    assert got == dict(rows) | {2: "caf\u00e9 \u20ac\u201c"}
