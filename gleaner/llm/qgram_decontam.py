@@ -1,13 +1,15 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-A document leaks an item if some stretch of it is within ``RATE`` of the item's length in edits, case of
-A-Z and runs of white space aside.  A stretch within k edits of a text of m characters shares at least
+A document leaks an item if it holds half of the item, but no less than ``LEAST`` and no more than ``ENOUGH`` bytes of it, in one
+stretch: within ``RATE`` of that stretch's length in edits, case of A-Z and runs of white space aside.  The rule is one
+at every length; an item of up to ``CUT`` bytes also leaks when the whole of it is within its own budget.  A stretch within k edits of a text of m characters shares at least
 m + 1 - q - k * q of its q-grams, on diagonals that differ by at most k.  So each document's q-grams are
 looked up in the items' q-grams, the hits are counted in overlapping bands of diagonals, bands that
 reach the bound are kept, and the region of each is aligned with the item inside its band.
 
-Items longer than ``CUT`` bytes are searched in pieces of ``PIECE``; one piece found is a leak.  The index is
-broadcast in slices of at most ``SLICE_BYTES`` of items, whatever the size of the benchmark: a larger one takes
+The same bound holds for the stretch itself, on the diagonals of the item, so items are looked up whole and no stretch
+of an item is missed wherever it begins.  A stretch found is extended while it pays; ``share`` is the part of the item
+that it covers in the end.  The index is broadcast in slices of at most ``SLICE_BYTES`` of items, whatever the size of the benchmark: a larger one takes
 several narrow passes over the documents.  Documents are never shuffled.
 
 Defined cases: null and empty texts leak nothing; items that are null or shorter than q bytes (after
@@ -29,12 +31,13 @@ from gleaner.llm.tables import bound_batches
 
 Q = 8  # a q-gram is one 64-bit word
 RATE = 0.08  # edits for each character of an item
-CUT, PIECE = 768, 384
+LEAST, ENOUGH = 40, 384  # bytes of an item in a stretch that is evidence at least, and at any length
+CUT = 768  # longer items are not aligned as a whole
 SLICE_BYTES = 1_000_000
 WINDOW_BYTES = 4_000_000  # of a long document looked at together
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-LEAKS = "array<struct<item_id: bigint, start: bigint, end: bigint, edits: int>>"
+LEAKS = "array<struct<item_id: bigint, start: bigint, end: bigint, edits: int, share: double>>"
 
 
 def folded(text: str | None) -> bytes:
@@ -60,8 +63,51 @@ def banded(pattern: np.ndarray, text: np.ndarray, width: int, free: bool) -> tup
     return int(row[at]), min(len(text), len(pattern) + at)
 
 
+def stretches(pattern: np.ndarray, size: int, starts: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, end) of the best alignment of each ``pattern[a:a + size]``, a in ``starts``, that starts in ``text`` at a + low or
+    one of the next places, ``width`` in all; ends may lie outside the text."""
+    d = np.arange(width)
+    pad = max(0, -low)
+    padded = np.full(pad + max(len(text), len(pattern) + max(0, low) + width), 256, np.int64)
+    padded[pad:pad + len(text)] = text
+    row = np.zeros((len(starts), width), np.int64)
+    at = starts[:, None] + (low + pad) + d
+    for i in range(size):
+        step = row + (padded[at + i] != pattern[starts + i][:, None])
+        step[:, :-1] = np.minimum(step[:, :-1], row[:, 1:] + 1)
+        row = np.minimum.accumulate(step - d, axis=1) + d
+    best = row.argmin(axis=1)
+    return row[np.arange(len(starts)), best], starts + size + low + best
+
+
+def grown(pattern: np.ndarray, text: np.ndarray, used: int, done: int, rate: float) -> tuple[int, int, int]:
+    """(characters of the pattern, of the text, edits) by which an alignment of ``done`` characters with ``used`` edits is
+    extended: while it stays within ``rate``, and an edit gains at least four characters."""
+    w = max(1, int(rate * (done + len(pattern))) - used)
+    big = done + len(pattern) + len(text) + w
+    d = np.arange(-w, w + 1)
+    row = np.where(d < 0, big, d)
+    padded = np.full(len(pattern) + 2 * w + 1, 256, np.int64)  # place j of the text at j + w
+    n = min(len(text), len(pattern) + w + 1)
+    padded[w:w + n] = text[:n]
+    best, gain = (0, 0, 0), 0
+    for i, c in enumerate(pattern):
+        step = row + (padded[i:i + 2 * w + 1] != c)
+        step[:-1] = np.minimum(step[:-1], row[1:] + 1)
+        step = np.minimum.accumulate(step - d) + d
+        step[(i + 1 + d > len(text)) | (i + 1 + d < 0)] = big
+        row = step
+        at = int(row.argmin())
+        edits = int(row[at])
+        if used + edits > rate * (done + len(pattern)):
+            break
+        if used + edits <= rate * (done + i + 1) and i + 1 - 4 * edits > gain:
+            best, gain = (i + 1, i + 1 + at - w, edits), i + 1 - 4 * edits
+    return best
+
+
 class Index:
-    """The q-grams of a slice of items: sorted distinct codes with their (piece, position) postings."""
+    """The q-grams of a slice of items: sorted distinct codes with their (item, position) postings."""
 
     def __init__(self, items: list[tuple[int, str | None]], rate: float = RATE):
         self.item: list[int] = []
@@ -70,14 +116,16 @@ class Index:
             data = folded(text)
             if len(data) < Q:
                 continue
-            cuts = [0, len(data)] if len(data) <= CUT else [*range(0, len(data) - PIECE + 1, PIECE), len(data)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                self.item.append(item)
-                self.piece.append(data[lo:hi])
+            self.item.append(item)
+            self.piece.append(data)
+        self.rate = rate
         m = np.array([len(p) for p in self.piece], np.int64)
-        # the largest edit budget for which the lemma still asks for a shared q-gram
-        self.k = np.minimum((rate * m).astype(np.int64), (m - Q) // Q) if len(m) else m
-        self.need = m - Q + 1 - self.k * Q
+        self.size = np.minimum(m, np.minimum(ENOUGH, np.maximum(LEAST, (m + 1) // 2)))
+        # the largest edit budgets, of a stretch and of the item, for which the lemma still asks for a shared q-gram
+        self.budget = np.minimum((rate * self.size).astype(np.int64), (self.size - Q) // Q)
+        self.k = np.where(m <= CUT, np.minimum((rate * m).astype(np.int64), (m - Q) // Q), self.budget)
+        self.stretch_need = self.size - Q + 1 - self.budget * Q
+        self.need = np.where(m <= CUT, np.minimum(self.stretch_need, m - Q + 1 - self.k * Q), self.stretch_need)
         self.longest = int(m.max()) if len(m) else 0
         self.least = int(self.need.min()) if len(m) else 0
         codes = [self._codes(p) for p in self.piece]
@@ -127,24 +175,55 @@ class Index:
                 found.append((p, j * w - self.longest, (j + 2) * w - self.longest))
         return found
 
-    def verify(self, data: bytes, piece: int, low: int, high: int) -> tuple[int, int, int] | None:
-        """(start, end, edits) in ``data`` of the piece's best alignment in a band, if it is within the budget."""
+    def verify(self, data: bytes, piece: int, low: int, high: int) -> tuple[int, int, int, float] | None:
+        """(start, end, edits, share) in ``data`` of the item's best alignment in a band, or else of a stretch of it, if
+        it is within the budget."""
         p, k = self.piece[piece], int(self.k[piece])
         lo, hi = max(0, low - k), min(len(data), high + len(p) + k)
         exact = data.find(p, lo, hi)
         if exact >= 0:
-            return exact, exact + len(p), 0
+            return exact, exact + len(p), 0, 1.0
         region, pattern = np.frombuffer(data[lo:hi], np.uint8).astype(np.int64), np.frombuffer(p, np.uint8)
-        edits, end = banded(pattern, region, high - low + 2 * k + 1, True)
-        if edits > k:
+        if len(p) <= CUT:
+            edits, end = banded(pattern, region, high - low + 2 * k + 1, True)
+            if edits <= k:
+                _, back = banded(pattern[::-1], region[:end][::-1], 2 * k + 1, False)
+                return lo + end - back, lo + end, edits, 1.0
+        return self._stretch(piece, pattern, data[lo:hi], region, lo, low - k - lo, high - low + 2 * k + 1)
+
+    def _stretch(self, piece: int, pattern: np.ndarray, part: bytes, region: np.ndarray, lo: int, low: int, width: int) -> tuple[int, int, int, float] | None:
+        size, budget = int(self.size[piece]), int(self.budget[piece])
+        if size >= len(pattern) or len(part) < Q:
+            return None
+        # stretches that share enough q-grams with the region, those of the most first
+        held = np.concatenate([[0], np.cumsum(np.isin(self._codes(self.piece[piece]), self._codes(part)))])
+        shared = held[size - Q + 1:] - held[:len(held) - (size - Q + 1)]
+        starts = np.argsort(-shared, kind="stable")
+        starts = starts[:int((shared >= self.stretch_need[piece]).sum())]
+        at, step = 0, 8
+        while at < len(starts):
+            some = starts[at:at + step]
+            edits, ends = stretches(pattern, size, some, region, low, width)
+            best = int(edits.argmin())
+            if edits[best] <= budget:
+                break
+            at, step = at + step, 64
+        else:
             return None
-        _, back = banded(pattern[::-1], region[:end][::-1], 2 * k + 1, False)
-        return lo + end - back, lo + end, edits
+        a, used, end = int(some[best]), int(edits[best]), min(len(region), int(ends[best]))
+        # where it begins: the same alignment backwards
+        back = grown(pattern[a:a + size][::-1], region[:end][::-1], 0, 0, 1.0)
+        begin, done = end - back[1], size
+        more, j, e = grown(pattern[a + size:], region[end:], used, done, self.rate)
+        end, done, used = end + j, done + more, used + e
+        more, j, e = grown(pattern[:a][::-1], region[:begin][::-1], used, done, self.rate)
+        begin, done, used = begin - j, done + more, used + e
+        return lo + begin, lo + end, used, done / len(pattern)
 
     def leaks(self, text: str | None) -> list[dict]:
         """Leaks in one text, with code points of the text, by item and start."""
         data = folded(text)
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        found: dict[int, list[tuple[int, int, int, float]]] = {}
         margin = 2 * self.longest + 4 * Q
         for at in range(0, max(1, len(data)), WINDOW_BYTES):
             part = data[at:at + WINDOW_BYTES + margin]
@@ -153,22 +232,22 @@ class Index:
             for piece, low, high in self.bands(part):
                 hit = self.verify(part, piece, low, high)
                 if hit is not None:
-                    found.setdefault(piece, []).append((hit[0] + at, hit[1] + at, hit[2]))
+                    found.setdefault(piece, []).append((hit[0] + at, hit[1] + at, *hit[2:]))
         if not found:
             return []
         place = self._places(text)
         out = set()
         for piece, hits in found.items():
             last = None
-            for start, end, edits in sorted(set(hits)):
-                if last is not None and start < last[1]:  # the same stretch from two bands
-                    last = min(last, (start, end, edits), key=lambda h: (h[2], h[0]))
+            for hit in sorted(set(hits)):
+                if last is not None and hit[0] < last[1]:  # the same stretch from two bands
+                    last = min(last, hit, key=lambda h: (-h[3], h[2], h[0]))
                     continue
                 if last is not None:
-                    out.add((self.item[piece], *place(last[0], last[1]), last[2]))
-                last = (start, end, edits)
-            out.add((self.item[piece], *place(last[0], last[1]), last[2]))
-        return [dict(zip(("item_id", "start", "end", "edits"), x, strict=True)) for x in sorted(out)]
+                    out.add((self.item[piece], *place(last[0], last[1]), *last[2:]))
+                last = hit
+            out.add((self.item[piece], *place(last[0], last[1]), *last[2:]))
+        return [dict(zip(("item_id", "start", "end", "edits", "share"), x, strict=True)) for x in sorted(out)]
 
     @staticmethod
     def _places(text: str):
@@ -191,7 +270,7 @@ class Index:
 
 def _leak_rows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     index = shared.value
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())]))
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("share", pa.float64())]))
     for b in batches:
         found = [index.leaks(t.as_py()) for t in b.column(1)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], names=["row", "leaks"])
@@ -213,7 +292,7 @@ def slices(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", rate: float = RATE,
                slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """The columns ``keep`` of every row and ``leaks``: array of (item_id, start, end, edits)."""
+    """The columns ``keep`` of every row and ``leaks``: array of (item_id, start, end, edits, share)."""
     bound_batches(docs.sparkSession)
     kept = F.struct(*[F.col(c) for c in keep]).alias("row")
     kinds = docs.select(kept).schema["row"].dataType.simpleString()

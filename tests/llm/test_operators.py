@@ -339,6 +339,24 @@ def test_leaks(spark, slice_bytes):
     assert qgram_decontam.find_leaks(df, bench.limit(0), ["doc_id"]).where("size(leaks) > 0").count() == 0
 
 
+@pytest.mark.parametrize("size", [100, 213, 394, 700, 800, 1_600])
+def test_leaks_of_parts_by_one_rule(size):
+    rng = random.Random(size)
+    letters = [a + b + c for a in "bdfgkpv" for b in "aeiou" for c in "lmnrst"]
+    item = words(rng, size, letters)[:size - 1] + "x"
+    around = words(rng, 200, letters), words(rng, 200, letters)
+    index = qgram_decontam.Index([(7, item)])
+    least = min(384, -(-size // 2))
+    for n, at in [(size * 9 // 10, 0), (size * 9 // 10, size // 10), (size * 2 // 3, size // 5), (least, 0), (least, size // 3), (least, size - least)]:
+        doc = f"{around[0]} {item[at:at + n]} {around[1]}"
+        (found,) = index.leaks(doc)
+        assert found["share"] == pytest.approx(n / size, abs=0.12) and item[at + 5:at + n - 5] in doc[found["start"]:found["end"]]
+        (found,) = index.leaks(f"{around[0]} {edited(rng, item[at:at + n], n * 3 // 100)} {around[1]}") if n >= least + 40 else (found,)
+        assert found["share"] >= 0.3 or size > 768
+    assert index.leaks(f"{around[0]} {item} {around[1]}")[0]["share"] == 1.0
+    assert not index.leaks(f"{around[0]} {item[size // 3:size // 3 + least * 3 // 4]} {around[1]}") and not index.leaks(around[0])
+
+
 # --- op7 and op9 --------------------------------------------------------------------------------------
 
 
