@@ -1,7 +1,7 @@
 """Queries opN over the training-data tables, and the staged pipeline, for ``__spark_entry__``.
 
-None of these results is plain SQL over the tables (models, tokenizers, trees, components), but for
-the components of op4, whose DuckDB form is in ``ORACLE``; the others are tested against brute force.
+None of these results is plain SQL over the tables (models, tokenizers, trees, components), so
+``ORACLE`` is empty; they are tested against brute force.
 """
 
 from __future__ import annotations
