@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import (adaptive_scan, bitmask_langid, chunked_bpe, credential_links, ctw, pairwise_quality, qgram_decontam, signature_join,
+from gleaner.llm import (adaptive_scan, bitmask_langid, chunked_bpe, credential_links, ctw, fill_middle, pairwise_quality, qgram_decontam, signature_join,
                          token_counts, tree_extract)
 from gleaner.llm.tables import held_out
 
@@ -76,7 +76,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credential_links.report(_table(spark, sf_dir, "documents"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, as digests of the output and of the text restored from it."""
+    return fill_middle.digests(fill_middle.transform(_table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_lm_score, op2_nearest, op3_main_text, op4_near_duplicates, op5_quality, op6_decontaminate, op7_bpe, op8_language, op9_token_counts, op10_secrets)}
+    op1_lm_score, op2_nearest, op3_main_text, op4_near_duplicates, op5_quality, op6_decontaminate, op7_bpe, op8_language, op9_token_counts, op10_secrets,
+    op13_fill_middle)}
 
 ORACLE: dict[str, str] = {}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import math
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -29,14 +31,25 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 
 ARROW_ROWS = 1_000  # rows of texts sent to a Python worker together; Spark's own default is 10,000
+ARROW_BYTES = 64 << 20  # about so many bytes of texts are sent together at most
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to ``ARROW_ROWS`` rows, so that a worker's memory follows a thousand texts.
-    Every operator calls it, as the plans it returns run later; results do not depend on it."""
+    """Lower the session's Arrow batches to ``ARROW_ROWS`` rows and ``ARROW_BYTES`` bytes, so that a worker's memory follows
+    a thousand texts and no more than some tens of megabytes of them.  Every operator calls it, as the plans it returns run
+    later; results do not depend on it."""
     if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= ARROW_ROWS:
         spark.conf.set(_BATCH_ROWS, str(ARROW_ROWS))
+    if _bytes(spark.conf.get(_BATCH_BYTES, None)) > ARROW_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(ARROW_BYTES))
+
+
+def _bytes(setting: str | None) -> float:
+    """A size setting in bytes; unlimited when it is unset or not positive."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", (setting or "-1").lower()).groups()
+    return int(number) * 1024 ** "bkmgtp".index((unit or "b")[0]) if int(number) > 0 else math.inf
 
 
 @contextlib.contextmanager
