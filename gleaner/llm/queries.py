@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import (adaptive_scan, bitmask_langid, chunked_bpe, credential_links, ctw, fill_middle, pairwise_quality, qgram_decontam, signature_join,
-                         token_counts, tree_extract)
+from gleaner.llm import (adaptive_scan, bitmask_langid, chunked_bpe, credential_links, ctw, fill_middle, orchard_codes, pairwise_quality, prefix_doubling, qgram_decontam,
+                         signature_join, token_counts, tree_extract)
 from gleaner.llm.tables import held_out
 
 
@@ -76,6 +76,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credential_links.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that start anywhere else too, as digests."""
+    return prefix_doubling.digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, their errors and the digest of the codebooks."""
+    return orchard_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle form of every document, as digests of the output and of the text restored from it."""
     return fill_middle.digests(fill_middle.transform(_table(spark, sf_dir, "documents"), ["doc_id"]))
@@ -83,6 +93,6 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_lm_score, op2_nearest, op3_main_text, op4_near_duplicates, op5_quality, op6_decontaminate, op7_bpe, op8_language, op9_token_counts, op10_secrets,
-    op13_fill_middle)}
+    op11_repeats, op12_vector_codes, op13_fill_middle)}
 
 ORACLE: dict[str, str] = {}

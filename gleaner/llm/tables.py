@@ -25,9 +25,42 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
     Cuts the lineage with files that outlive executors.  The table stays until
     ``drop_scratch`` or the end of the cluster's checkpoint folder."""
+    return materialise_at(df, tag)[0]
+
+
+def materialise_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """As ``materialise``, with the table's path for ``discard``."""
     path = f"{scratch_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialise_bucketed(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``keys`` in the shared folder and read it back: joins on just these keys move the
+    other side only.  A ``df`` that an aggregate or join on ``keys`` has dealt out already isn't moved once more."""
+    spark = df.sparkSession
+    name = f"llm_{tag}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+     .option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name))
+    return spark.table(name)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that no later step reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession):
+    """While active, the shuffle files of a query go as soon as it has been written; results do not depend on it."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 ARROW_ROWS = 1_000  # rows of texts sent to a Python worker together; Spark's own default is 10,000
@@ -76,9 +109,7 @@ def few(ids: DataFrame) -> DataFrame:
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every table this application has written with ``materialise``; call it once the
     results built on them have been written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, scratch_dir(spark))
 
 
 def fold(id_col: str, modulus: int) -> Column:
