@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gleaner.llm.tables import bound_batches, materialise
+from gleaner.llm.tables import bound_batches, materialise, read_text, with_text
 
 SLOTS = 1 << 20
 HASHES = 3
@@ -166,10 +166,10 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Fi
     return Filter(langs, words)
 
 
-def _predictions(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predictions(batches: Iterator[pa.RecordBatch], shared, path: list[str]) -> Iterator[pa.RecordBatch]:
     model = shared.value
     for b in batches:
-        got = [model.predict(t.as_py()) for t in b.column(1)]
+        got = [model.predict(t.as_py()) for t in read_text(b, path)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())],
                                          names=["row", "lang_pred", "score"])
 
@@ -178,8 +178,7 @@ def predict(docs: DataFrame, model: Filter, keep: list[str], text_col: str = "te
     """The columns ``keep`` of every row of ``docs`` with lang_pred and score; one narrow pass."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    row = F.struct(*[F.col(c) for c in keep]).alias("row")
-    kinds = docs.select(row).schema["row"].dataType.simpleString()
-    out = docs.select(row, F.col(text_col).cast("string").alias("text")).mapInArrow(
-        lambda it: _predictions(it, shared), f"row {kinds}, lang_pred string, score double")
+    sent, path = with_text(docs, keep, text_col)
+    kinds = docs.select(sent[0]).schema["row"].dataType.simpleString()
+    out = docs.select(*sent).mapInArrow(lambda it: _predictions(it, shared, path), f"row {kinds}, lang_pred string, score double")
     return out.select("row.*", "lang_pred", "score")

@@ -1,11 +1,12 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-A document leaks an item if it holds half of the item, but no less than ``LEAST`` and no more than ``ENOUGH`` bytes of it, in one
-stretch: within ``RATE`` of that stretch's length in edits, case of A-Z and runs of white space aside.  The rule is one
-at every length; an item of up to ``CUT`` bytes also leaks when the whole of it is within its own budget.  A stretch within k edits of a text of m characters shares at least
-m + 1 - q - k * q of its q-grams, on diagonals that differ by at most k.  So each document's q-grams are
+A document leaks an item if it holds the whole of it, or a stretch of half of it but ``LEAST`` bytes at least, each within
+``RATE`` of its length in edits, case of A-Z and runs of white space aside.  The rule is one at every length.  A stretch
+within k edits of a text of m characters shares at least m + 1 - q - k * q of its q-grams, on diagonals that differ by at
+most k.  So each document's q-grams are
 looked up in the items' q-grams, the hits are counted in overlapping bands of diagonals, bands that
-reach the bound are kept, and the region of each is aligned with the item inside its band.
+reach a bound are kept, and the region of each is aligned inside its band, with the whole item only where the whole item's bound is
+reached.
 
 The same bound holds for the stretch itself, on the diagonals of the item, so items are looked up whole and no stretch
 of an item is missed wherever it begins.  A stretch found is extended while it pays; ``share`` is the part of the item
@@ -27,12 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.tables import bound_batches
+from gleaner.llm.tables import bound_batches, read_text, with_text
 
 Q = 8  # a q-gram is one 64-bit word
 RATE = 0.08  # edits for each character of an item
-LEAST, ENOUGH = 40, 384  # bytes of an item in a stretch that is evidence at least, and at any length
-CUT = 768  # longer items are not aligned as a whole
+LEAST = 40  # bytes of an item in a stretch that is evidence at least; of items of over 80, half of it
 SLICE_BYTES = 1_000_000
 WINDOW_BYTES = 4_000_000  # of a long document looked at together
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -120,12 +120,13 @@ class Index:
             self.piece.append(data)
         self.rate = rate
         m = np.array([len(p) for p in self.piece], np.int64)
-        self.size = np.minimum(m, np.minimum(ENOUGH, np.maximum(LEAST, (m + 1) // 2)))
+        self.size = np.minimum(m, np.maximum(LEAST, (m + 1) // 2))
         # the largest edit budgets, of a stretch and of the item, for which the lemma still asks for a shared q-gram
         self.budget = np.minimum((rate * self.size).astype(np.int64), (self.size - Q) // Q)
-        self.k = np.where(m <= CUT, np.minimum((rate * m).astype(np.int64), (m - Q) // Q), self.budget)
+        self.k = np.minimum((rate * m).astype(np.int64), (m - Q) // Q)
         self.stretch_need = self.size - Q + 1 - self.budget * Q
-        self.need = np.where(m <= CUT, np.minimum(self.stretch_need, m - Q + 1 - self.k * Q), self.stretch_need)
+        self.whole_need = m - Q + 1 - self.k * Q
+        self.need = np.minimum(self.stretch_need, self.whole_need)
         self.longest = int(m.max()) if len(m) else 0
         self.least = int(self.need.min()) if len(m) else 0
         codes = [self._codes(p) for p in self.piece]
@@ -145,8 +146,8 @@ class Index:
     def _codes(data: bytes) -> np.ndarray:
         return np.ndarray((len(data) - Q + 1,), "<u8", data, strides=(1,))
 
-    def bands(self, data: bytes) -> list[tuple[int, int, int]]:
-        """(piece, lowest and one past the highest diagonal) of the bands that reach the lemma's bound."""
+    def bands(self, data: bytes) -> list[tuple[int, int, int, int]]:
+        """(piece, lowest and one past the highest diagonal, shared q-grams) of the bands that reach a bound of the lemma's."""
         codes = self._codes(data)
         at = np.flatnonzero(self.filter[(codes * _MULTIPLIER) >> self.shift])
         if len(at) < self.least:
@@ -172,23 +173,25 @@ class Index:
             p, j = key >> 40, (key & ((1 << 40) - 1)) - 1
             if hits >= self.need[p]:
                 w = int(self.k[p]) + 1
-                found.append((p, j * w - self.longest, (j + 2) * w - self.longest))
+                found.append((p, j * w - self.longest, (j + 2) * w - self.longest, hits))
         return found
 
-    def verify(self, data: bytes, piece: int, low: int, high: int) -> tuple[int, int, int, float] | None:
+    def verify(self, data: bytes, piece: int, low: int, high: int, hits: int) -> tuple[int, int, int, float] | None:
         """(start, end, edits, share) in ``data`` of the item's best alignment in a band, or else of a stretch of it, if
-        it is within the budget."""
+        it is within the budget.  Each is aligned only where the band's q-grams reach its own bound."""
         p, k = self.piece[piece], int(self.k[piece])
         lo, hi = max(0, low - k), min(len(data), high + len(p) + k)
         exact = data.find(p, lo, hi)
         if exact >= 0:
             return exact, exact + len(p), 0, 1.0
         region, pattern = np.frombuffer(data[lo:hi], np.uint8).astype(np.int64), np.frombuffer(p, np.uint8)
-        if len(p) <= CUT:
+        if hits >= self.whole_need[piece]:
             edits, end = banded(pattern, region, high - low + 2 * k + 1, True)
             if edits <= k:
                 _, back = banded(pattern[::-1], region[:end][::-1], 2 * k + 1, False)
                 return lo + end - back, lo + end, edits, 1.0
+        if hits < self.stretch_need[piece]:
+            return None
         return self._stretch(piece, pattern, data[lo:hi], region, lo, low - k - lo, high - low + 2 * k + 1)
 
     def _stretch(self, piece: int, pattern: np.ndarray, part: bytes, region: np.ndarray, lo: int, low: int, width: int) -> tuple[int, int, int, float] | None:
@@ -229,8 +232,8 @@ class Index:
             part = data[at:at + WINDOW_BYTES + margin]
             if len(part) < Q or not self.piece:
                 continue
-            for piece, low, high in self.bands(part):
-                hit = self.verify(part, piece, low, high)
+            for piece, low, high, hits in self.bands(part):
+                hit = self.verify(part, piece, low, high, hits)
                 if hit is not None:
                     found.setdefault(piece, []).append((hit[0] + at, hit[1] + at, *hit[2:]))
         if not found:
@@ -268,11 +271,11 @@ class Index:
         return place
 
 
-def _leak_rows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _leak_rows(batches: Iterator[pa.RecordBatch], shared, path: list[str]) -> Iterator[pa.RecordBatch]:
     index = shared.value
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("share", pa.float64())]))
     for b in batches:
-        found = [index.leaks(t.as_py()) for t in b.column(1)]
+        found = [index.leaks(t.as_py()) for t in read_text(b, path)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], names=["row", "leaks"])
 
 
@@ -294,15 +297,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
                slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The columns ``keep`` of every row and ``leaks``: array of (item_id, start, end, edits, share)."""
     bound_batches(docs.sparkSession)
-    kept = F.struct(*[F.col(c) for c in keep]).alias("row")
-    kinds = docs.select(kept).schema["row"].dataType.simpleString()
-    out = docs.select(kept, F.col(text_col).cast("string").alias("text"))
-    arrays = []
+    sent, path = with_text(docs, keep, text_col)
+    out = docs.select(F.struct(*sent).alias("doc"))
+    kinds, arrays = out.schema["doc"].dataType.simpleString(), []
     for n, part in enumerate(slices(benchmark, slice_bytes=slice_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(Index(part, rate))
-        before = f"struct<row: {kinds}, text: string" + "".join(f", l{i}: {LEAKS}" for i in range(n)) + ">"
-        packed = out.select(F.struct("*").alias("row"), "text")
-        out = packed.mapInArrow(lambda it, s=shared: _leak_rows(it, s), f"row {before}, leaks {LEAKS}").select("row.*", F.col("leaks").alias(f"l{n}"))
+        before = f"struct<doc: {kinds}" + "".join(f", l{i}: {LEAKS}" for i in range(n)) + ">"
+        packed = out.select(F.struct("*").alias("row"))
+        out = packed.mapInArrow(lambda it, s=shared: _leak_rows(it, s, ["row", "doc", *path]), f"row {before}, leaks {LEAKS}").select("row.*", F.col("leaks").alias(f"l{n}"))
         arrays.append(f"l{n}")
     leaks = F.concat(*arrays) if arrays else F.expr(f"cast(array() as {LEAKS})")
-    return out.select("row.*", leaks.alias("leaks"))
+    return out.select("doc.row.*", leaks.alias("leaks"))

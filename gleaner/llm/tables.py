@@ -85,6 +85,23 @@ def _bytes(setting: str | None) -> float:
     return int(number) * 1024 ** "bkmgtp".index((unit or "b")[0]) if int(number) > 0 else math.inf
 
 
+def with_text(docs: DataFrame, keep: list[str], text_col: str) -> tuple[list[Column], list[str]]:
+    """What a Python stage gets of ``docs``: a struct ``row`` of the columns ``keep``, and ``text`` beside it unless it lies in one of
+    them (a dotted name), so that no text is sent twice; and where ``read_text`` finds the text."""
+    row = F.struct(*[F.col(c) for c in keep]).alias("row")
+    path = text_col.split(".")
+    if len(path) > 1 and path[0] in keep:
+        return [row], ["row", *path]
+    return [row, F.col(text_col).cast("string").alias("text")], ["text"]
+
+
+def read_text(batch: pa.RecordBatch, path: list[str]) -> pa.Array:
+    column = batch.column(path[0])
+    for name in path[1:]:
+        column = column.field(name)
+    return column
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 256):
     """While active, Python stages that run get batches of few rows; for rows that hold whole sets.  Results do

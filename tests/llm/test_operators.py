@@ -326,13 +326,12 @@ def test_leaks(spark, slice_bytes):
         docs += [(10 + i, f"é {around[0]} {shown} {around[1]}"), (20 + i, f"{around[0]} {edited(rng, t, int(0.04 * len(t)))} {around[1]}"),
                  (30 + i, f"{around[0]} {t[:len(t) // 4]} {around[1]}"), (40 + i, t)]
         want |= {(10 + i, i), (20 + i, i), (40 + i, i)}
-    want.add((33, 3))  # a whole piece of the long item
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, leaks string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = qgram_decontam.find_leaks(df, bench, ["doc_id"], slice_bytes=slice_bytes).collect()
     assert len(got) == len(docs)
     found = {(r.doc_id, x.item_id): x for r in got for x in r.leaks}
-    assert set(found) - {(33, 3)} == want - {(33, 3)}
+    assert set(found) == want  # a quarter is no leak, however long the item
     at = found[(11, 1)]
     assert qgram_decontam.folded(dict(docs)[11][at.start:at.end]) == qgram_decontam.folded(items[1][1]) and at.edits == 0
     assert 0 < found[(21, 1)].edits <= 0.08 * len(items[1][1])
@@ -346,13 +345,13 @@ def test_leaks_of_parts_by_one_rule(size):
     item = words(rng, size, letters)[:size - 1] + "x"
     around = words(rng, 200, letters), words(rng, 200, letters)
     index = qgram_decontam.Index([(7, item)])
-    least = min(384, -(-size // 2))
+    least = -(-size // 2)
     for n, at in [(size * 9 // 10, 0), (size * 9 // 10, size // 10), (size * 2 // 3, size // 5), (least, 0), (least, size // 3), (least, size - least)]:
         doc = f"{around[0]} {item[at:at + n]} {around[1]}"
         (found,) = index.leaks(doc)
         assert found["share"] == pytest.approx(n / size, abs=0.12) and item[at + 5:at + n - 5] in doc[found["start"]:found["end"]]
         (found,) = index.leaks(f"{around[0]} {edited(rng, item[at:at + n], n * 3 // 100)} {around[1]}") if n >= least + 40 else (found,)
-        assert found["share"] >= 0.3 or size > 768
+        assert found["share"] >= 0.45
     assert index.leaks(f"{around[0]} {item} {around[1]}")[0]["share"] == 1.0
     assert not index.leaks(f"{around[0]} {item[size // 3:size // 3 + least * 3 // 4]} {around[1]}") and not index.leaks(around[0])
 
