@@ -44,7 +44,7 @@ from gleaner.llm.tables import bound_batches, discard, freed_shuffles, materiali
 
 LENGTH = 200
 HALF = LENGTH // 2
-GROUP_RUNS = 5_000  # runs of one anchor whose positions are compared in one task
+GROUP_RUNS = 1_000  # runs of one anchor whose positions are compared in one task
 CHUNK_BYTES = 1 << 18  # bytes hashed together
 PIECE_BYTES = 1 << 20  # longer texts are hashed in overlapping pieces
 CHUNK_RUNS = 10_000  # runs whose positions are sorted together
