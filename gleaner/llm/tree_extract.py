@@ -3,8 +3,9 @@
 A page becomes a tree of its elements.  Every block of text outside boilerplate is worth one point, one
 for each comma and up to three for its length; it passes them to the block around it in full, to the next
 one by half, and to three more by ever smaller shares.  A container's points are discounted by its
-link density.  The best container is kept, or the ``article``/``main`` that holds it, with those of its
-siblings that score well or are plain text with few links.
+link density.  The best container is kept, or the ``article``/``main`` that holds it, or the wrapper that holds no other
+text, with all unmarked siblings that are not mostly links: headings, lead paragraphs, lists, tables and short sections
+beside it are parts of the article whatever their points.  Of equally good containers the first counts.
 
 Scripts, styles, frames, controls and hidden elements hold no text.  Menus, asides, page headers and footers, forms,
 and elements whose class, id or role names a menu, sidebar, notice, advert or reader comments only carry a mark,
@@ -15,7 +16,8 @@ HTML5 tree builder.
 
 Defined cases: null or empty html, and a page without text, give an empty text and 0 characters;
 unclosed tags close with their parents; an unclosed script or comment runs to the end of the page;
-repeated rows stay separate; extra columns are ignored.
+repeated rows stay separate; an empty table gives no rows; extra columns are ignored.  Long pages are read whole, in time that
+grows with their length.
 """
 
 from __future__ import annotations
@@ -65,7 +67,6 @@ _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 ENOUGH = 10  # points that are text whatever a doubtful name says
 LEVELS = 5  # containers a block passes points to
-KEEP_SHARE = 0.2  # of the best score, for a sibling
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -124,7 +125,8 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack, open_count = [0], {"#root": 1}
+        stack, scopes = [0], []  # open elements; places on the stack of those in SCOPES
+        places: dict[str, list[int]] = {}  # and of every name, so that no tag walks the stack
         parts: list[str] = []
         owner, linked, at, size = 0, 0, 0, len(source)
 
@@ -146,12 +148,13 @@ class Page:
             if not parts:
                 owner = here if self.tag[here] in BLOCK or self.mark[here] else max(0, self.above[here])
             parts.append(text)
-            if open_count.get("a", 0):
+            if places.get("a"):
                 linked += len(text.strip())
 
         def pop() -> None:
-            name = self.tag[stack.pop()]
-            open_count[name] -= 1
+            places[self.tag[stack.pop()]].pop()
+            if scopes and scopes[-1] == len(stack):
+                scopes.pop()
 
         while at < size:
             m = _MARKUP.search(source, at)
@@ -164,11 +167,11 @@ class Page:
                 continue
             tag = m["tag"].lower()
             if m["close"]:
-                if open_count.get(tag, 0):
+                if places.get(tag):
                     if tag in BLOCK:
                         end_block()
                     # an inline end tag does not reach through its block
-                    if tag not in BLOCK and any(self.tag[x] in SCOPES for x in _above(stack, self.tag, tag)):
+                    if tag not in BLOCK and scopes and scopes[-1] > places[tag][-1]:
                         continue
                     left = self.out[stack[-1]]
                     while True:
@@ -183,7 +186,7 @@ class Page:
                 elif tag == "br":
                     end_block()
                 continue
-            while len(stack) > 1 and (name := _closes(stack, self.tag, tag, open_count)):
+            while len(stack) > 1 and (name := _closes(tag, places, scopes)):
                 end_block()
                 while True:
                     last = self.tag[stack[-1]]
@@ -197,7 +200,7 @@ class Page:
             raw_attrs = m["attrs"] or ""
             top = stack[-1]
             attrs = _attributes(raw_attrs) if raw_attrs.strip(" /\n\t") else {}
-            inside = bool(open_count.get("article", 0) or open_count.get("main", 0))
+            inside = bool(places.get("article") or places.get("main"))
             out = self.out[top] or tag in DROPPED or bool(raw_attrs) and tag not in ("html", "body", "article", "main") and _is_hidden(attrs, raw_attrs)
             mark = 0 if out else _mark(tag, attrs, inside)
             if mark or out and not self.out[top]:
@@ -213,8 +216,10 @@ class Page:
             self.mark.append(mark)
             self.inside.append(inside)
             self.articles.append(int(tag == "main" or tag == "article" and all(_name_mark(x) < PART for x in attrs.get("class", "").split())))
+            places.setdefault(tag, []).append(len(stack))
+            if tag in SCOPES:
+                scopes.append(len(stack))
             stack.append(len(self.tag) - 1)
-            open_count[tag] = open_count.get(tag, 0) + 1
         end_block()
 
     def left_out(self) -> tuple[list[bool], list[bool]]:
@@ -295,40 +300,30 @@ class Page:
             if self.tag[up] in ("article", "main"):
                 best = up
             up = self.parent[up]
+        # wrappers that hold no other text
+        while best > 0 and self.tag[best] not in ("article", "main", "body", "html") and (up := self.parent[best]) > 0 and not self.mark[up] and chars[up] == chars[best]:
+            best = up
+        around = best > 0 and self.tag[best] not in ("body", "html")
         kept = [False] * n
         for i in range(n):
-            kept[i] = i == best or i > 0 and kept[self.parent[i]] or best > 0 and self.parent[i] == self.parent[best] and not out[i] and not self.mark[i] and self._goes_with(i, best, total, chars, linked)
+            kept[i] = i == best or i > 0 and kept[self.parent[i]] or around and self.parent[i] == self.parent[best] and not out[i] and not self.mark[i] and self._goes_with(i, chars, linked)
         return " ".join(text for element, text, _ in blocks if kept[element])
 
-    def _goes_with(self, i: int, best: int, total: list[float], chars: list[int], linked: list[int]) -> bool:
-        if not chars[i] or self.tag[best] in ("body", "html"):
+    def _goes_with(self, i: int, chars: list[int], linked: list[int]) -> bool:
+        """Whether an unmarked sibling of the best container is part of the article: anything but lists of links."""
+        if not chars[i]:
             return False
-        density = linked[i] / chars[i]
-        if self.tag[i] in ("p", "h1", "h2", "h3", "blockquote", "pre"):
-            return density < 0.25
-        if self.tag[i] in ("article", "section", "div", "main"):
-            return density < 0.5 and total[i] >= max(10, KEEP_SHARE * total[best])
-        return False
+        return linked[i] / chars[i] < (0.25 if self.tag[i] in ("p", "h1", "h2", "h3", "blockquote", "pre") else 0.5)
 
 
-def _above(stack: list[int], tags: list[str], name: str) -> Iterator[int]:
-    """Open elements above the nearest one called ``name``."""
-    for x in reversed(stack):
-        if tags[x] == name:
-            return
-        yield x
-
-
-def _closes(stack: list[int], tags: list[str], tag: str, open_count: dict[str, int]) -> str:
-    """The open element that the start of ``tag`` ends, if any."""
+def _closes(tag: str, places: dict[str, list[int]], scopes: list[int]) -> str:
+    """The open element that the start of ``tag`` ends, if any: the nearest of its name, unless a wall stands in between."""
     for name, by in CLOSED_BY.items():
-        if tag in by and open_count.get(name, 0):
-            walls = ("table",) if name in ("td", "th", "tr") else SCOPES
-            for x in reversed(stack):
-                if tags[x] == name:
-                    return name
-                if tags[x] in walls:
-                    break
+        if tag in by and places.get(name):
+            walls = places.get("table") if name in ("td", "th", "tr") else scopes
+            # an element may be a wall itself
+            if not walls or places[name][-1] >= walls[-1]:
+                return name
     return ""
 
 

@@ -202,9 +202,37 @@ def test_main_text_keeps_marked_wrappers(page, want):
     assert tree_extract.main_text(page) == want
 
 
+SIX = "".join(f"<p>{STORY} {i}</p>" for i in range(6))
+SIX_TEXT = " ".join(f"{STORY} {i}" for i in range(6))
+
+
+@pytest.mark.parametrize("before, after, want", [
+    ("", "<ul><li>One</li><li>Two</li></ul>", f"{SIX_TEXT} One Two"),
+    ("", "<table><tr><th>Year</th><td>1900</td></tr></table>", f"{SIX_TEXT} Year 1900"),
+    ("<div><h1>Title</h1></div>", "", f"Title {SIX_TEXT}"),
+    ("<div><p>Lead.</p></div>", "", f"Lead. {SIX_TEXT}"),
+    ("", "<h4>Terms</h4><dl><dt>a</dt><dd>b</dd></dl>", f"{SIX_TEXT} Terms a b"),
+    ("", "<section><h2>End</h2><p>It was over.</p></section>", f"{SIX_TEXT} End It was over."),
+    ("<div class='menu'><p>Menu</p></div><ul><li><a href=/>Home</a></li></ul>", "<div id='comments'><p>Me too</p></div>", SIX_TEXT),
+])
+@pytest.mark.parametrize("wrap", ["{}", "<div class='wrap'><div>{}</div></div>"])
+def test_main_text_keeps_what_stands_beside_the_best_container(before, after, want, wrap):
+    assert tree_extract.main_text("<body>" + before + wrap.format(f"<div>{SIX}</div>") + after) == want
+
+
 def test_main_text_is_linear():
+    import time
+
     deep = "<div>" * 3_000 + "<p>x</p>" + "<b>" * 3_000 + "<p>y" * 3_000
     assert tree_extract.main_text(deep).startswith("x y y")
+    for page in ("<li><div>" + "<b>" * 40_000 + "<li>" * 40_000, "<i><div>" + "<b>" * 40_000 + "</i>" * 40_000, "<p>" + "x " * 2_000_000):
+        began = time.process_time()
+        tree_extract.main_text(page)
+        assert time.process_time() - began < 20
+
+
+def test_main_text_of_no_pages(spark):
+    assert tree_extract.extract(spark.createDataFrame([], "page_id long, url string, html string"), ["page_id", "url"]).collect() == []
 
 
 # --- op4 ----------------------------------------------------------------------------------------------
