@@ -1,7 +1,8 @@
 """Token counts by a map-side two-tier lookup.
 
 Tier one is a compact table {pre-token: number of tokens} of the corpus's frequent pre-tokens,
-broadcast to every worker.  Each scan task summarises the pre-tokens of *its* rows into a bounded
+broadcast to every worker.  It is fitted on one row in ``SAMPLE``, chosen by a hash of the id at every size alike: each
+scan task summarises the pre-tokens of its chosen rows into a bounded
 list of its heaviest ones, these lists are added up (the only exchange; its size is bounded by
 ``SUMMARY_SIZE`` rows a task and holds no document data), and the ``TABLE_SIZE`` heaviest
 overall are encoded once.  Tier two is a bounded cache inside each Python worker for the rest.
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.tables import bound_batches
 
 TABLE_SIZE = 32_768  # entries of the broadcast table
+SAMPLE = 16  # one row in so many is summarised for the table; counts do not depend on it
 SUMMARY_SIZE = 8_192  # heaviest pre-tokens each task reports
 COUNTER_SIZE = 400_000  # distinct words a task holds before it splits them, and pre-tokens before it forgets its rarest
 CACHE_SIZE = 1_000_000  # entries of a worker's cache, pre-tokens and words
@@ -153,8 +155,9 @@ def _summaries(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
 
 
 def frequent_pieces(docs: DataFrame, text: str, path: str) -> dict[str, int]:
-    """The broadcast tier: at most ``TABLE_SIZE`` pre-tokens of at most ``CACHED_CHARS`` characters."""
-    heavy = (docs.select(F.col(text)).where(F.col(text).isNotNull())
+    """The broadcast tier, from the chosen rows of ``docs``: at most ``TABLE_SIZE`` pre-tokens of at most ``CACHED_CHARS`` characters."""
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+    heavy = (chosen.select(F.col(text)).where(F.col(text).isNotNull())
              .mapInArrow(lambda it: _summaries(it, path), "piece string, n long")
              .groupBy("piece").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "piece").limit(TABLE_SIZE).select("piece").toArrow())
@@ -195,7 +198,7 @@ def _counts(batches: Iterator[pa.RecordBatch], path: str, shared) -> Iterator[pa
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``; two scans, no exchange of texts or
+    """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``; two scans, of which the first works on a sample, no exchange of texts or
     of their pre-tokens.  ``tokenizer_path`` must exist on every executor."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
