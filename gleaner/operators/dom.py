@@ -52,32 +52,57 @@ _ARROW_SCHEMA = pa.schema(
     ]
 )
 
-_COLS = [f.name for f in _ARROW_SCHEMA]
+# DOM2 by signature: of an element its nearest ancestors, parent first
+CHAIN_STEPS = 3
+CHAIN_FIELD = T.StructField("chain", T.ArrayType(T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("id", T.StringType()), T.StructField("class", T.StringType())])), True)
+_ARROW_CHAIN = pa.field("chain", pa.list_(pa.struct([("name", pa.string()), ("id", pa.string()), ("class", pa.string())])))
+
 _BATCH_ROWS = 65536
+_BATCH_CHARS = 32 << 20  # text and markup of the rows of a batch
 
 DEFAULT_INNER_HTML_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
-def _parse_batches(id_col: str, html_col: str, inner_tags: frozenset):
+def _chains(cols: dict, steps: int) -> list:
+    """Of each element the codes (name, id, class) of its nearest ``steps`` ancestors, parent first."""
+    chains: list = [None] * len(cols["node_id"])
+    for i, (kind, parent) in enumerate(zip(cols["kind"], cols["parent_id"])):
+        if kind == "element":
+            if not parent:
+                chains[i] = []
+                continue
+            attrs = dict(cols["attrs"][parent])
+            code = {"name": cols["name"][parent], "id": attrs.get("id"), "class": attrs.get("class")}
+            chains[i] = [code, *chains[parent][:steps - 1]]
+    return chains
+
+
+def _parse_batches(id_col: str, html_col: str, inner_tags: frozenset, chain: bool):
+    schema = _ARROW_SCHEMA.append(_ARROW_CHAIN) if chain else _ARROW_SCHEMA
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buf = {c: [] for c in _COLS}
-        size = 0
+        buf = {c: [] for c in schema.names}
+        size = chars = 0
         for rb in batches:
-            ids = rb.column(id_col).to_pylist()
-            htmls = rb.column(html_col).to_pylist()
-            for pid, html in zip(ids, htmls):
+            for pid, html in zip(rb.column(id_col), rb.column(html_col)):
+                html = html.as_py()
                 cols = parse_html(html, inner_tags)
+                if chain:
+                    cols["chain"] = _chains(cols, CHAIN_STEPS)
                 n = len(cols["node_id"])
-                buf["page_id"].extend([pid] * n)
-                for c in _COLS[1:]:
+                buf["page_id"].extend([pid.as_py()] * n)
+                for c in schema.names[1:]:
                     buf[c].extend(cols[c])
                 size += n
-                if size >= _BATCH_ROWS:
-                    yield pa.RecordBatch.from_pydict(buf, schema=_ARROW_SCHEMA)
-                    buf = {c: [] for c in _COLS}
-                    size = 0
+                chars += len(html or "") + sum(len(x) for x in cols["inner_html"] if x)
+                # offsets of a batch's strings are 32-bit numbers
+                if size >= _BATCH_ROWS or chars >= _BATCH_CHARS:
+                    yield pa.RecordBatch.from_pydict(buf, schema=schema)
+                    buf = {c: [] for c in schema.names}
+                    size = chars = 0
         if size:
-            yield pa.RecordBatch.from_pydict(buf, schema=_ARROW_SCHEMA)
+            yield pa.RecordBatch.from_pydict(buf, schema=schema)
 
     return run
 
@@ -88,16 +113,19 @@ def dom_nodes(
     html_col: str = "html",
     inner_html_tags: Iterable[str] = DEFAULT_INNER_HTML_TAGS,
     spread_input: bool = True,
+    chain: bool = False,
 ) -> DataFrame:
     """DOM1: pages(id, html) -> one row per node (element, text, comment, document root).
 
     Only the two needed columns cross into Python; filter pages *before* this
-    call, pushdown stops at the Python boundary.
+    call, pushdown stops at the Python boundary.  With ``chain`` every element carries the codes of
+    its ``CHAIN_STEPS`` nearest ancestors, which makes a child-chain selector a filter.
     """
     src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col).alias(html_col))
     if spread_input:
         src = spread(src)
-    return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags)), NODE_SCHEMA)
+    schema = T.StructType(NODE_SCHEMA.fields + [CHAIN_FIELD]) if chain else NODE_SCHEMA
+    return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags), chain), schema)
 
 
 def parse_errors(nodes: DataFrame) -> DataFrame:
@@ -123,8 +151,30 @@ def step_match(tag: str | None = None, elem_id: str | None = None, classes: Iter
     return cond
 
 
+def step_match_in_chain(level: int, tag: str | None = None, elem_id: str | None = None, classes: Iterable[str] = ()) -> Column:
+    """The same test on the ancestor ``level`` steps up (0: the parent), read from the element's own row."""
+    up = F.get("chain", F.lit(level))
+    cond = up.isNotNull()
+    if tag:
+        cond = cond & (up["name"] == tag)
+    if elem_id is not None:
+        cond = cond & (up["id"] == elem_id)
+    for c in classes:
+        cond = cond & F.array_contains(F.split(F.coalesce(up["class"], F.lit("")), r"[ \t\n\f\r]+"), c)
+    return cond
+
+
 def select_path(nodes: DataFrame, steps) -> DataFrame:
-    """DOM2: child chain ``s0 > s1 > ... > sn``; returns the node rows matching the last step."""
+    """DOM2: child chain ``s0 > s1 > ... > sn``; returns the node rows matching the last step.
+
+    Nodes parsed with ``chain`` are filtered; without it, or for a chain longer than it tells, each step is a semi-join
+    of the node table with itself."""
+    steps = list(steps)
+    if "chain" in nodes.columns and len(steps) <= CHAIN_STEPS + 1:
+        cond = step_match(*steps[-1])
+        for level, step in enumerate(reversed(steps[:-1])):
+            cond = cond & step_match_in_chain(level, *step)
+        return nodes.filter(cond)
     first, *rest = steps
     cur = nodes.filter(step_match(*first))
     for step in rest:
@@ -138,6 +188,18 @@ def select_path(nodes: DataFrame, steps) -> DataFrame:
     return cur
 
 
+def select_links_of(nodes: DataFrame, rules: Iterable[Iterable[str]]) -> DataFrame:
+    """``page_id, href`` of the ``<a>`` elements whose href contains all substrings of at least one rule."""
+    href = F.col("attrs")["href"]
+    any_rule = F.lit(False)
+    for contains in rules:
+        cond = href.isNotNull()
+        for s in contains:
+            cond = cond & href.contains(s)
+        any_rule = any_rule | cond
+    return nodes.filter((F.col("kind") == "element") & (F.col("name") == "a") & any_rule).select("page_id", href.alias("href"))
+
+
 def first_text(nodes: DataFrame, steps, alias: str = "value") -> DataFrame:
     """DOM3: per page, the first node matching ``steps`` (document order) and the text of its
     first child; null unless that first child is a text node."""

@@ -4,8 +4,7 @@ The section is a token sequence (text nodes at even positions).  Markers split i
 an AND marker closes a *block*; a block's first token selects its stage (single
 choice, group choice, or all mandatory); inside a group-choice block an OR
 marker starts a new group.  Everything is running counts over the token order
-of one page's section.  Ordinary documents use windows; a document with more tokens than
-``HOT_GROUP_ROWS`` takes a skew-safe path of range-partitioned running sums instead.
+of one page's section, in windows that Spark sorts and spills.
 
 Flat outputs:
   optional  (keys..., conjunct_no, group_no, pos, code, name)   AND of ORs of AND-groups

@@ -1,22 +1,25 @@
 """End-to-end plan: page snapshots -> frontier -> course pages -> entries -> catalogue.
 
-Stages (each a lazily planned DataFrame; the node table of the course pages is
-materialised once in the shared checkpoint folder because several consumers read it):
+Stages (each a lazily planned DataFrame; what several consumers read is written once in the shared
+checkpoint folder):
 
-  pages --LNK5 (per hop: DOM1 on the frontier, LNK1, LNK3)--> course pages
-  course pages --DOM1--> nodes --DOM2-8, CHR, CON, EXM--> entries + exam rows
+  pages --ids: one snapshot a URL--> URL index; bodies --one exchange--> page store, bucketed by page_id
+  index, store --LNK5 (per hop: DOM1 in the buckets, LNK1, LNK4, LNK3, LNK7, ids only)--> course page ids
+  store restricted to these ids --DOM1--> nodes --DOM2-8, CHR, CON, EXM--> entries + exam rows
   entries --FLT/NRM--> tables --INT--> violations, --JON3--> expanded view
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gleaner.operators.crawl import bodies_of, crawl, page_store, url_index, with_redirects
 from gleaner.operators.dom import (
     dom_nodes,
     first_text,
     last_sections,
+    parse_errors,
     section_headers,
     section_nodes,
     take_tokens,
@@ -24,8 +27,8 @@ from gleaner.operators.dom import (
 )
 from gleaner.operators.fields import characteristics, contacts, unknown_fields
 from gleaner.operators.integrity import check_catalogue
-from gleaner.operators.links import resolve_link, select_links, select_pages
-from gleaner.operators.normalise import build_catalogue, first_wins
+from gleaner.operators.links import crawl_plan, select_pages
+from gleaner.operators.normalise import build_catalogue
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import expanded_course_institution
 from gleaner.presets import CrawlPreset, ExamPreset, FieldPreset, SectionPreset
@@ -35,58 +38,53 @@ from gleaner.sources.pages import course_url
 PARSED_SECTIONS = ("contacts", "characteristics", "exams")
 
 
-def page_nodes(pages: DataFrame, materialise: bool = True, buckets: int | None = None) -> DataFrame:
+def page_nodes(pages: DataFrame, materialise: bool = True, buckets: int | None = None, in_buckets: bool = False,
+               counts: Observation | None = None) -> DataFrame:
     """DOM1 for the pages, materialised as a table bucketed by page_id.
 
     Pages are hash-partitioned by page_id *before* the parse (moving HTML is cheaper than
     moving nodes), so each parse task holds one bucket and writes one file; everything
-    after it is per page, so joins and aggregates on (page_id, ...) need no shuffle."""
+    after it is per page, so joins and aggregates on (page_id, ...) need no shuffle.
+    ``in_buckets`` says that they lie in ``buckets`` of a page store already.  ``counts`` observes pages
+    and parse errors while the nodes are written."""
     spark = pages.sparkSession
     if not materialise:
-        return dom_nodes(pages.select("page_id", "html"))
+        return dom_nodes(pages.select("page_id", "html"), chain=True)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = pages.select("page_id", "html").repartition(n, "page_id")
-    return write_bucketed(dom_nodes(src, spread_input=False), "page_id", n, "nodes", partitioned=True)
+    src = pages.select("page_id", "html")
+    nodes = dom_nodes(src if in_buckets else src.repartition(n, "page_id"), spread_input=False, chain=True)
+    if counts is not None:
+        nodes = nodes.observe(counts, F.count_if(F.col("node_id") == 0).alias("pages"), F.count_if(F.col("kind") == "error").alias("errors"))
+    return write_bucketed(nodes, "page_id", n, "nodes", partitioned=True)
 
 
-def one_per_url(pages: DataFrame) -> DataFrame:
-    """A crawl fetches each URL once: of several snapshots of one URL keep the earliest
-    (``seq``, then ``page_id``) - a first-wins aggregate over (url, page_id) only."""
-    order = ["seq", "page_id"] if "seq" in pages.columns else ["page_id"]
-    ids = first_wins(pages.select("url", *order), ["url"], order, ["page_id"])
-    return pages.join(ids.select("page_id"), "page_id", "left_semi")
+def crawl_from_seed(pages: DataFrame, preset: CrawlPreset = CrawlPreset(), redirects: DataFrame | None = None,
+                    buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """LNK5 whole-guide mode: (page store, reached pages with their states) from the seed's URL."""
+    index = url_index(pages)
+    store = page_store(pages, index, buckets)
+    if redirects is not None:
+        index = with_redirects(index, redirects)
+    seeds = pages.sparkSession.createDataFrame([(preset.seed_url, preset.seed_state)], "url string, state string")
+    return store, crawl(store, index, seeds, preset.transitions, preset.allowed_hosts)
 
 
-def _hop(pages: DataFrame, frontier: DataFrame, contains) -> DataFrame:
-    """One crawl hop: parse only the frontier pages, select and resolve their links,
-    and return (page_id, url) of the snapshot pages they point at."""
-    fnodes = dom_nodes(frontier.select("page_id", "html"))
-    links = select_links(fnodes, contains)
-    resolved = links.join(frontier.select("page_id", F.col("url").alias("base")), "page_id", "inner").select(
-        resolve_link("base", "href").alias("url")
-    )
-    return pages.select("page_id", "url").join(resolved.distinct(), "url", "left_semi")
+def request_times(crawled: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
+    """LNK8: when each reached URL could be asked for at the earliest, in order of hops, under the preset's delay per host."""
+    return crawl_plan(crawled.select("url", "hop", "state"), "url", ["hop", "url", "state"], preset.delay_s)
 
 
 def crawl_course_pages(pages: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
-    """LNK5 whole-guide mode: seed -> letter pages -> course pages (each URL once).
-
-    Like the crawl itself, a hop only parses the pages reached by the previous hop; the
-    frontier is a URL list, materialised so each hop plans from a flat input."""
-    pages = one_per_url(pages)
-    frontier = pages.filter(F.col("url") == F.lit(preset.seed_url))
-    visited = cut_lineage(frontier.select("url"))
-    for contains in preset.hops:
-        nxt = cut_lineage(_hop(pages, frontier, contains).join(visited, "url", "left_anti"))
-        visited = cut_lineage(visited.unionByName(nxt.select("url")))
-        frontier = pages.join(nxt.select("page_id"), "page_id", "left_semi")
-    return frontier
+    """The pages (``page_id, url, seq, html``) that the whole-guide crawl reaches as course pages."""
+    store, reached = crawl_from_seed(pages, preset)
+    course = reached.filter(F.col("state") == preset.course_state)
+    return bodies_of(store, course).join(course.select("page_id", "url", "seq"), "page_id")
 
 
 def selected_course_pages(pages: DataFrame, selection: DataFrame, preset: CrawlPreset = CrawlPreset()) -> DataFrame:
-    """LNK6 + SRC6: only the course pages named in a selection table."""
+    """LNK6 + SRC6: the index rows of only the course pages named in a selection table."""
     urls = selection.select(course_url("institution_code", "course_code", preset.course_url_template).alias("url"))
-    return one_per_url(select_pages(pages, urls))
+    return url_index(select_pages(pages, urls))
 
 
 def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intended",
@@ -119,8 +117,10 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
         .join(course_name, "page_id", "left")
         .join(institution_name, "page_id", "left")
     )
+    failed = parse_errors(nodes)
     return {
-        "entries": entries,
+        "entries": entries.join(failed.select("page_id"), "page_id", "left_anti"),
+        "parse_errors": failed.join(course_pages.select("page_id", "url"), "page_id"),
         "optional": optional,
         "mandatory": mandatory,
         "unknown_headers": unknown_labels(headers, "section", ["contacts", "characteristics", "exams", "statistics", "information", "ignored"])
@@ -129,13 +129,22 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     }
 
 
-def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, mode: str = "intended") -> dict:
-    """Full batch run: returns tables, violations and the expanded view.  Only course
-    pages (selected, or reached by the crawl) are turned into the node table."""
-    course_pages = selected_course_pages(pages, selection) if selection is not None else crawl_course_pages(pages)
-    nodes = page_nodes(course_pages)
-    # (page_id, seq, url) of the course pages: one small row per page, read four times below
-    index = cut_lineage(course_pages.select("page_id", *(["seq"] if "seq" in course_pages.columns else []), "url"))
+def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, mode: str = "intended", preset: CrawlPreset = CrawlPreset(),
+                         redirects: DataFrame | None = None, buckets: int | None = None) -> dict:
+    """Full batch run: returns tables, violations, the expanded view, what was set aside, the crawl and its counts.
+    Only course pages (selected, or reached by the crawl) are turned into the node table; their bodies move once."""
+    crawled = None
+    if selection is not None:
+        course = selected_course_pages(pages, selection, preset)
+        store = page_store(pages, course, buckets)
+    else:
+        store, crawled = crawl_from_seed(pages, preset, redirects, buckets)
+        course = crawled.filter(F.col("state") == preset.course_state)
+    counts = Observation()
+    nodes = page_nodes(bodies_of(store, course) if crawled is not None else store, buckets=buckets, in_buckets=True, counts=counts)
+    # (page_id, seq, url) of the course pages: one small row per page, read four times below; a page that answers several
+    # URLs is one entry, of the smallest
+    index = cut_lineage(course.groupBy("page_id").agg(F.min("seq").alias("seq"), F.min("url").alias("url")))
     with co_partition_by_prefix(pages.sparkSession):
         parsed = parse_entries(index, nodes, mode)
         # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
@@ -147,5 +156,7 @@ def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, m
         "tables": tables,
         "violations": check_catalogue(tables),
         "view": expanded_course_institution(tables),
+        "counts": counts,
+        "crawl": crawled,
         **parsed,
     }

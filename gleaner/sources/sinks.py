@@ -13,6 +13,7 @@ def _t(*fields):
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# FIXED VALUES: the catalogue's tables as declared
 CATALOGUE_SCHEMAS = {
     "exams": _t(("code", S, False), ("name", S, True)),
     "cnaef_areas": _t(("code", S, False), ("name", S, True)),
@@ -63,5 +64,6 @@ def write_catalogue(tables: dict, path: str, mode: str = "overwrite", fmt: str =
 def read_catalogue(spark: SparkSession, path: str, fmt: str = "parquet") -> dict:
     out = {}
     for name in WRITE_ORDER:
-        out[name] = spark.read.schema(CATALOGUE_SCHEMAS[name]).format(fmt).load(f"{path}/{name}")
+        schema = CATALOGUE_SCHEMAS[name]
+        out[name] = spark.read.schema(schema).format(fmt).load(f"{path}/{name}").select(*schema.names)  # no partition columns
     return out

@@ -51,11 +51,11 @@ def test_batch_retry_after_partial_write(spark, scratch, monkeypatch):
     real = ingest.append_new
     calls = []
 
-    def failing(t, path, keys, schema):
+    def failing(t, path, keys, schema, *more):
         calls.append(path)
         if path.endswith("/durations") and len([c for c in calls if c.endswith("/durations")]) == 1:
             raise RuntimeError("executor lost")
-        real(t, path, keys, schema)
+        real(t, path, keys, schema, *more)
 
     monkeypatch.setattr(ingest, "append_new", failing)
     handle = catalogue_stream_handler(f"{scratch}/cat")
