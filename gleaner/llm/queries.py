@@ -1,7 +1,7 @@
 """Queries opN over the training-data tables, and the staged pipeline, for ``__spark_entry__``.
 
-None of these results is plain SQL over the tables (models, tokenizers, trees, components), so
-``ORACLE`` is empty; they are tested against brute force.
+``ORACLE`` has the DuckDB SQL of those that SQL can express.  The others (models, tokenizers, trees, components, iterated
+codebooks, strings of 200 bytes at every position) are tested against brute force.
 """
 
 from __future__ import annotations
@@ -95,4 +95,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_lm_score, op2_nearest, op3_main_text, op4_near_duplicates, op5_quality, op6_decontaminate, op7_bpe, op8_language, op9_token_counts, op10_secrets,
     op11_repeats, op12_vector_codes, op13_fill_middle)}
 
-ORACLE: dict[str, str] = {}
+_SPACE = r"\x20\x09-\x0D"
+ORACLE: dict[str, str] = {"op13_fill_middle": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+') AS units,
+        CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+      FROM d),
+c AS (SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+             WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p"""}
