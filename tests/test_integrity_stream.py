@@ -78,17 +78,14 @@ def _visited(spark, root):
 
 def test_stream_crawl_in_any_order(spark, scratch):
     rows, schema = _guide(spark), spark.createDataFrame([], SCHEMA).schema
-    for k, seed in enumerate((1, 2)):
-        order = list(rows)
-        random.Random(seed).shuffle(order)
-        root = f"{scratch}/{k}"
-        for part in (order[:4], order[4:]):
-            land(spark.createDataFrame(part, SCHEMA), f"{root}/in")
-            ingest_guide(spark, f"{root}/in", schema, root, f"{root}/ckpt", load=False)
-        assert _visited(spark, root) == [11, 12, 13]
+    random.Random(1).shuffle(rows)
+    for part in (rows[:4], rows[4:]):
+        land(spark.createDataFrame(part, SCHEMA), f"{scratch}/in")
+        ingest_guide(spark, f"{scratch}/in", schema, scratch, f"{scratch}/ckpt", load=False)
+    assert _visited(spark, scratch) == [11, 12, 13]
     # a stream that starts anew: nothing is added
-    ingest_guide(spark, f"{root}/in", schema, root, f"{root}/ckpt2", load=False)
-    assert _visited(spark, root) == [11, 12, 13]
+    ingest_guide(spark, f"{scratch}/in", schema, scratch, f"{scratch}/ckpt2", load=False)
+    assert _visited(spark, scratch) == [11, 12, 13]
 
 
 def test_stream_loads_what_it_visits(spark, scratch):

@@ -22,6 +22,19 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_guide():
+    """The guide is crawled and loaded once for the queries that look at the same run."""
+    import functools
+
+    from gleaner.plans import guide_queries
+
+    real = guide_queries._catalogue
+    guide_queries._catalogue = functools.lru_cache(maxsize=4)(real)
+    yield
+    guide_queries._catalogue = real
+
+
 def _names():
     from __spark_entry__ import oracle_sql
 
