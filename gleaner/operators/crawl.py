@@ -107,23 +107,25 @@ def follow_redirects(redirects: DataFrame) -> tuple[DataFrame, int]:
     """Request URL -> response URL over one-step redirects ``src, dst``: (``url, response, hops``, rounds).
 
     Pointer jumping: every pointer is replaced by its target's pointer, so the distance doubles each round and a chain of
-    n steps takes some log2(n) + 1 rounds.  A chain that runs into a cycle never ends: its requests have no response (null, hops
-    null).  A pointer still on a redirecting URL after more doublings than there are redirects must be such a one, which bounds the rounds.
+    n steps takes some log2(n) + 1 rounds.  A round works on the pointers that are still on their way and writes only these; those
+    that arrived are kept as they were written.  A chain that runs into a cycle never ends: its requests have no response (null, hops
+    null).  Round r is the one in which pointers 2**(r-1) to 2**r - 1 steps from an end arrive, and a longer chain holds URLs at each of
+    these distances; so once a round sees none arrive, all that are left run into cycles, which bounds the rounds by the longest chain.
     Of several targets of one URL the smallest counts."""
     first = redirects.filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).groupBy("src").agg(F.min("dst").alias("dst"))
-    ends = written(first.select(F.col("src").alias("url"), F.col("dst").alias("at"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("on")), "redirects")
-    most, rounds = ends.count(), 0
-    while True:
-        far = ends.select(F.col("url").alias("at"), F.col("at").alias("next"), F.col("hops").alias("more"), F.col("on").alias("next_on"))
-        on = ends.filter("on").join(far, "at", "left")
+    on = written(first.select(F.col("src").alias("url"), F.col("dst").alias("at"), F.lit(1).cast("long").alias("hops")), "redirects")
+    arrived, left, before, rounds = on.limit(0), on.count(), None, 0
+    while left and left != before:
+        far = on.withColumn("next_on", F.lit(True)).unionByName(arrived.withColumn("next_on", F.lit(False)))
+        far = far.select(F.col("url").alias("at"), F.col("at").alias("next"), F.col("hops").alias("more"), "next_on")
         # a pointer whose target redirects no further has arrived
-        on = on.select("url", F.coalesce("next", "at").alias("at"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
-                       F.coalesce("next_on", F.lit(False)).alias("on"))
-        ends = written(ends.filter("not on").unionByName(on), "redirects")
-        rounds += 1
-        if ends.filter("on").isEmpty() or 2**rounds > 2 * most:
-            break
-    return ends.select("url", F.when(~F.col("on"), F.col("at")).alias("response"), F.when(~F.col("on"), F.col("hops")).alias("hops")), rounds
+        moved = written(on.join(far, "at", "left").select(
+            "url", F.coalesce("next", "at").alias("at"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+            F.coalesce("next_on", F.lit(False)).alias("on")), "redirects")
+        on, arrived = moved.filter("on").drop("on"), arrived.unionByName(moved.filter("not on").drop("on"))
+        before, left, rounds = left, on.count(), rounds + 1
+    circling = on.select("url", F.when(F.lit(False), F.col("at")).alias("response"), F.when(F.lit(False), F.col("hops")).alias("hops"))
+    return arrived.withColumnRenamed("at", "response").unionByName(circling), rounds
 
 
 def with_redirects(index: DataFrame, redirects: DataFrame) -> DataFrame:

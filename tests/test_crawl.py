@@ -94,6 +94,17 @@ def test_redirect_chain_takes_few_rounds(spark):
     assert none.collect() == []
 
 
+def test_redirect_circles_end_with_the_longest_chain(spark):
+    """However many URLs run in circles, the rounds are those of the longest chain and one that sees no pointer arrive."""
+    circles = [(f"r{i:04}", f"r{i // 20 * 20 + (i + 1) % 20:04}") for i in range(2000)]
+    chain = [(f"a{i}", f"a{i + 1}") for i in range(5)]
+    ends, rounds = follow_redirects(spark.createDataFrame(circles + chain, "src string, dst string"))
+    got = {r.url: (r.response, r.hops) for r in ends.collect()}
+    assert rounds == 4 and len(got) == 2005
+    assert [got[f"a{i}"] for i in range(5)] == [("a5", 5 - i) for i in range(5)]
+    assert all(got[src] == (None, None) for src, _ in circles)
+
+
 def test_links_resolve_on_the_response(spark):
     """The index page is asked for by one URL and answered by another folder's: its links are resolved there."""
     pages = _pages(spark, [(1, 1, "http://h.x/new/i?q", "<a href='b?to=1'></a>"), (2, 2, "http://h.x/new/b?to=1", ""), (3, 3, "http://h.x/old/b?to=1", "")])
