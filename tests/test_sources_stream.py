@@ -165,3 +165,18 @@ def test_charset_query_decodes_every_document(spark, scratch):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
     got = {r.doc_id: r.decoded for r in q_charset_decode(spark, scratch).collect()}
     assert got == dict(rows) | {2: "caf\u00e9 \u20ac\u201c"}
+
+
+def test_raw_files_are_opened_once(spark, scratch):
+    """Many small files are read by a few tasks, once: the order, the bodies and the count all read what was written."""
+    from gleaner.sources.pages import read_pages
+
+    spark.createDataFrame([(i, f"page {i}") for i in range(300)], "p long, value string").repartition(4).write.partitionBy("p").text(f"{scratch}/raw")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    back = read_pages(spark, f"{scratch}/raw", "binaryFile", "http://h.x/")
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "binaryfile" not in plan.lower() and "parquet" in plan.lower()
+    rows = back.collect()
+    assert sorted(r.seq for r in rows) == list(range(1, 301))
+    assert sorted(bytes(r.body).decode() for r in rows) == sorted(f"page {i}\n" for i in range(300))
