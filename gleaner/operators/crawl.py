@@ -59,9 +59,11 @@ def next_states(state: Column, href: Column, transitions: Iterable[tuple]) -> Co
 
 def followed_links(store: DataFrame, frontier: DataFrame, transitions) -> DataFrame:
     """``url, state`` that the frontier pages (``page_id, base, state``) link to, each pair once: the pages are parsed in
-    their buckets and only the links of some transition leave them."""
+    their buckets and only the links of some transition leave them.  A page in states that no transition leads out of has no link that is
+    followed: it is not parsed for links."""
     transitions = list(transitions)
-    anchors = select_links_of(dom_nodes(bodies_of(store, frontier), inner_html_tags=(), spread_input=False),
+    frontier = frontier.filter(F.col("state").isin(*{here for here, _, _ in transitions}))
+    anchors = select_links_of(dom_nodes(bodies_of(store, frontier), inner_html_tags=(), spread_input=False, only_tags=("a",)),
                               [contains for _, contains, _ in transitions])
     links = anchors.join(frontier.select("page_id", "base", "state"), "page_id").select(
         "base", "href", F.explode(next_states(F.col("state"), F.col("href"), transitions)).alias("state"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,51 +58,95 @@ CHAIN_FIELD = T.StructField("chain", T.ArrayType(T.StructType([
     T.StructField("name", T.StringType()), T.StructField("id", T.StringType()), T.StructField("class", T.StringType())])), True)
 _ARROW_CHAIN = pa.field("chain", pa.list_(pa.struct([("name", pa.string()), ("id", pa.string()), ("class", pa.string())])))
 
+_PLAIN = [f.name for f in _ARROW_SCHEMA if f.name not in ("page_id", "attrs")]
 _BATCH_ROWS = 65536
 _BATCH_CHARS = 32 << 20  # text and markup of the rows of a batch
 
 DEFAULT_INNER_HTML_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
-def _chains(cols: dict, steps: int) -> list:
-    """Of each element the codes (name, id, class) of its nearest ``steps`` ancestors, parent first."""
-    chains: list = [None] * len(cols["node_id"])
-    for i, (kind, parent) in enumerate(zip(cols["kind"], cols["parent_id"])):
-        if kind == "element":
-            if not parent:
-                chains[i] = []
+class _Batch:
+    """Node rows of several pages as flat Python lists; maps and chains as offsets into the lists of their items, so that Arrow
+    makes no row of them by itself."""
+
+    def __init__(self, chain: bool, only: frozenset | None):
+        self.chain, self.only = chain, only
+        self.clear()
+
+    def clear(self):
+        self.plain = {f.name: [] for f in _ARROW_SCHEMA if f.name != "attrs"}
+        self.attr_at, self.keys, self.values = [], [], []
+        self.chain_at, self.links = [], []  # of an element its ancestors, as rows of codes
+        self.codes = ([], [], [])  # name, id, class of elements with children
+        self.size = self.chars = 0
+
+    def add(self, page_id: int, html: str | None, cols: dict) -> None:
+        if self.only is not None:
+            rows = [i for i, (k, name) in enumerate(zip(cols["kind"], cols["name"])) if k == "error" or name in self.only]
+            cols = {c: [v[i] for i in rows] for c, v in cols.items()}
+        n = len(cols["node_id"])
+        plain = self.plain
+        plain["page_id"].extend([page_id] * n)
+        for c in _PLAIN:
+            plain[c].extend(cols[c])
+        at, keys, values = self.attr_at, self.keys, self.values
+        for attrs in cols["attrs"]:
+            at.append(None if attrs is None else len(keys))
+            if attrs:
+                for k, v in attrs:
+                    keys.append(k)
+                    values.append(v)
+        if self.chain:
+            self._add_chains(cols)
+        self.size += n
+        # an attribute without markup of its own repeats what the page says; inner HTML comes on top
+        self.chars += len(html or "") + sum([len(x) for x in cols["inner_html"] if x])
+
+    def _add_chains(self, cols: dict) -> None:
+        """Of each element the codes of its nearest ``CHAIN_STEPS`` ancestors, parent first."""
+        names, ids, classes = self.codes
+        at, links, up = self.chain_at, self.links, {}
+        chains: list = [()] * len(cols["node_id"])
+        for i, (kind, parent) in enumerate(zip(cols["kind"], cols["parent_id"])):
+            if kind != "element":
+                at.append(None)
                 continue
-            attrs = dict(cols["attrs"][parent])
-            code = {"name": cols["name"][parent], "id": attrs.get("id"), "class": attrs.get("class")}
-            chains[i] = [code, *chains[parent][:steps - 1]]
-    return chains
-
-
-def _parse_batches(id_col: str, html_col: str, inner_tags: frozenset, chain: bool):
-    schema = _ARROW_SCHEMA.append(_ARROW_CHAIN) if chain else _ARROW_SCHEMA
-
+            at.append(len(links))
+            if parent:
+                mine = up.get(parent)
+                if mine is None:
+                    attrs = dict(cols["attrs"][parent])
+                    mine = up[parent] = (len(names), *chains[parent][:CHAIN_STEPS - 1])
+                    names.append(cols["name"][parent])
+                    ids.append(attrs.get("id"))
+                    classes.append(attrs.get("class"))
+                chains[i] = mine
+                links.extend(mine)
+
+    def to_arrow(self) -> pa.RecordBatch:
+        columns = {c: pa.array(v, _ARROW_SCHEMA.field(c).type) for c, v in self.plain.items()}
+        columns["attrs"] = pa.MapArray.from_arrays(pa.array([*self.attr_at, len(self.keys)], pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))
+        schema = _ARROW_SCHEMA
+        if self.chain:
+            codes = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in self.codes], names=["name", "id", "class"])
+            columns["chain"] = pa.ListArray.from_arrays(pa.array([*self.chain_at, len(self.links)], pa.int32()), codes.take(pa.array(self.links, pa.int32())))
+            schema = schema.append(_ARROW_CHAIN)
+        return pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
+
+
+def _parse_batches(id_col: str, html_col: str, inner_tags: frozenset, chain: bool, only: frozenset | None = None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buf = {c: [] for c in schema.names}
-        size = chars = 0
+        buf = _Batch(chain, only)
         for rb in batches:
-            for pid, html in zip(rb.column(id_col), rb.column(html_col)):
+            for pid, html in zip(rb.column(id_col).to_pylist(), rb.column(html_col)):
                 html = html.as_py()
-                cols = parse_html(html, inner_tags)
-                if chain:
-                    cols["chain"] = _chains(cols, CHAIN_STEPS)
-                n = len(cols["node_id"])
-                buf["page_id"].extend([pid.as_py()] * n)
-                for c in schema.names[1:]:
-                    buf[c].extend(cols[c])
-                size += n
-                chars += len(html or "") + sum(len(x) for x in cols["inner_html"] if x)
+                buf.add(pid, html, parse_html(html, inner_tags))
                 # offsets of a batch's strings are 32-bit numbers
-                if size >= _BATCH_ROWS or chars >= _BATCH_CHARS:
-                    yield pa.RecordBatch.from_pydict(buf, schema=schema)
-                    buf = {c: [] for c in schema.names}
-                    size = chars = 0
-        if size:
-            yield pa.RecordBatch.from_pydict(buf, schema=schema)
+                if buf.size >= _BATCH_ROWS or buf.chars >= _BATCH_CHARS:
+                    yield buf.to_arrow()
+                    buf.clear()
+        if buf.size:
+            yield buf.to_arrow()
 
     return run
 
@@ -114,18 +158,23 @@ def dom_nodes(
     inner_html_tags: Iterable[str] = DEFAULT_INNER_HTML_TAGS,
     spread_input: bool = True,
     chain: bool = False,
+    only_tags: Iterable[str] | None = None,
 ) -> DataFrame:
     """DOM1: pages(id, html) -> one row per node (element, text, comment, document root).
 
     Only the two needed columns cross into Python; filter pages *before* this
     call, pushdown stops at the Python boundary.  With ``chain`` every element carries the codes of
-    its ``CHAIN_STEPS`` nearest ancestors, which makes a child-chain selector a filter.
+    its ``CHAIN_STEPS`` nearest ancestors, which makes a child-chain selector a filter.  With ``only_tags`` the pages are parsed
+    whole, but only elements of these names (and failed pages) leave Python; it excludes ``chain``.
     """
+    if chain and only_tags is not None:
+        raise ValueError("chains need every element")
     src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col).alias(html_col))
     if spread_input:
         src = spread(src)
     schema = T.StructType(NODE_SCHEMA.fields + [CHAIN_FIELD]) if chain else NODE_SCHEMA
-    return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags), chain), schema)
+    only = None if only_tags is None else frozenset(only_tags)
+    return src.mapInArrow(_parse_batches(id_col, html_col, frozenset(inner_html_tags), chain, only), schema)
 
 
 def parse_errors(nodes: DataFrame) -> DataFrame:
@@ -164,17 +213,26 @@ def step_match_in_chain(level: int, tag: str | None = None, elem_id: str | None
     return cond
 
 
+def _chain_tells(nodes: DataFrame, steps: list) -> bool:
+    return "chain" in nodes.columns and len(steps) <= CHAIN_STEPS + 1
+
+
+def path_match(steps: list) -> Column:
+    """Whether an element that carries its ancestors ends the child chain ``steps``."""
+    cond = step_match(*steps[-1])
+    for level, step in enumerate(reversed(steps[:-1])):
+        cond = cond & step_match_in_chain(level, *step)
+    return cond
+
+
 def select_path(nodes: DataFrame, steps) -> DataFrame:
     """DOM2: child chain ``s0 > s1 > ... > sn``; returns the node rows matching the last step.
 
     Nodes parsed with ``chain`` are filtered; without it, or for a chain longer than it tells, each step is a semi-join
     of the node table with itself."""
     steps = list(steps)
-    if "chain" in nodes.columns and len(steps) <= CHAIN_STEPS + 1:
-        cond = step_match(*steps[-1])
-        for level, step in enumerate(reversed(steps[:-1])):
-            cond = cond & step_match_in_chain(level, *step)
-        return nodes.filter(cond)
+    if _chain_tells(nodes, steps):
+        return nodes.filter(path_match(steps))
     first, *rest = steps
     cur = nodes.filter(step_match(*first))
     for step in rest:
@@ -211,6 +269,28 @@ def first_text(nodes: DataFrame, steps, alias: str = "value") -> DataFrame:
     return j.select("page_id", F.when(F.col("kind") == "text", F.col("text")).alias(alias))
 
 
+def first_texts(nodes: DataFrame, paths: dict) -> DataFrame:
+    """DOM3 for several paths ``{alias: steps}`` at once: one row for each page that matches any of them.  Nodes that carry their ancestors
+    are read once for all first matches and once for the texts below them."""
+    paths = {alias: list(steps) for alias, steps in paths.items()}
+    if not all(_chain_tells(nodes, steps) for steps in paths.values()):
+        out = None
+        for alias, steps in paths.items():
+            one = first_text(nodes, steps, alias)
+            out = one if out is None else out.join(one, "page_id", "full")
+        return out
+    matches = {alias: path_match(steps) for alias, steps in paths.items()}
+    any_match = F.lit(False)
+    for m in matches.values():
+        any_match = any_match | m
+    firsts = nodes.filter(any_match).groupBy("page_id").agg(*[F.min(F.when(m, F.col("node_id"))).alias("_first_" + a) for a, m in matches.items()])
+    kids = nodes.filter((F.col("sib_no") == 0) & (F.col("kind") == "text")).select(F.col("page_id").alias("_kp"), F.col("parent_id").alias("_kparent"), "text")
+    below = kids["_kparent"].isin(*[firsts["_first_" + a] for a in matches])
+    j = firsts.hint("shuffle_hash").join(kids, (firsts["page_id"] == kids["_kp"]) & below, "left")
+    # a node has one first child, so there is one text at most
+    return j.groupBy("page_id").agg(*[F.max(F.when(F.col("_kparent") == F.col("_first_" + a), F.col("text"))).alias(a) for a in matches])
+
+
 def label_kind(label: Column, kinds: dict, unknown: str = "unknown") -> Column:
     """DOM4 dispatch: exact-text lookup of a label in a literal map, else ``unknown``."""
     lookup = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])
@@ -256,7 +336,8 @@ def section_nodes(headers: DataFrame, nodes: DataFrame) -> DataFrame:
         "text",
         "attrs",
     )
-    j = headers.join(
+    # the few headers are what is kept in memory, so the nodes need no sort
+    j = headers.hint("shuffle_hash").join(
         n,
         (headers["page_id"] == n["_np"]) & (headers["parent_id"] == n["_npar"]) & (n["sib_no"] > headers["header_sib"]),
         "inner",
@@ -273,6 +354,22 @@ def token_stop(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) ->
     return df.groupBy(*keys).agg(F.min(F.when(on_token & ~keep, F.col(pos))).alias("stop_pos"))
 
 
+def with_stop(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) -> DataFrame:
+    """``token_stop`` on the rows themselves (column ``stop_pos``), by one sort in place of an aggregate and a join: for groups that are
+    no larger than a page."""
+    on_token = (F.col(pos) % stride) == 0
+    return df.withColumn("stop_pos", F.min(F.when(on_token & ~keep, F.col(pos))).over(Window.partitionBy(*keys)))
+
+
+def take_page_tokens(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) -> DataFrame:
+    """``take_tokens`` for groups that are no larger than a page."""
+    on_token = df.filter((F.col(pos) % stride) == 0)
+    out = with_stop(on_token, keys, pos, keep, stride)
+    return out.filter(F.col("stop_pos").isNull() | (F.col(pos) < F.col("stop_pos"))).withColumn(
+        "token_no", F.floor(F.col(pos) / stride).cast("long")
+    )
+
+
 def take_tokens(df: DataFrame, keys, pos: str, keep: Column, stride: int = 2) -> DataFrame:
     """DOM6: alternating token scan. Keep even positions, skip odd ones whatever they are,
     stop at the first even position failing ``keep``.  Implemented as an aggregate of the

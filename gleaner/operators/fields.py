@@ -24,7 +24,7 @@ from gleaner.functions.text import (
     utrim,
 )
 from gleaner.functions.lists import non_empty
-from gleaner.operators.dom import take_tokens, token_stop
+from gleaner.operators.dom import take_page_tokens, with_stop
 from gleaner.presets import ContactPreset, FieldPreset
 
 
@@ -68,7 +68,7 @@ def characteristic_specs(p: FieldPreset = FieldPreset()) -> list[FieldSpec]:
 def kv_tokens(section: DataFrame, sep: str = ": ") -> DataFrame:
     """CHR1 + DOM6: leading run of ``label: value`` text tokens of each section."""
     keep = (F.col("kind") == "text") & F.col("text").contains(sep)
-    toks = take_tokens(section, ["page_id", "header_id"], "pos", keep)
+    toks = take_page_tokens(section, ["page_id", "header_id"], "pos", keep)
     kv = split_kv("text", sep)
     return toks.select("page_id", "header_id", "token_no", kv["key"].alias("field"), kv["value"].alias("value"))
 
@@ -110,11 +110,11 @@ def contacts(section: DataFrame, preset: ContactPreset = ContactPreset()) -> Dat
     address-ending node to the end of the parent: ``Tel:`` lines -> phone numbers (whitespace
     removed), ``Fax:`` lines recognised and dropped, ``mailto:`` anchors -> e-mail addresses.
 
-    One aggregate finds where the address run stops, one join brings it back, and one
-    grouped aggregate builds the three lists (absent, never empty)."""
+    A window over the section finds where the address run stops, and one grouped aggregate in the
+    same order builds the three lists (absent, never empty)."""
     keys = ["page_id", "header_id"]
     is_text = F.col("kind") == "text"
-    j = section.join(token_stop(section, keys, "pos", is_text), keys, "inner")
+    j = with_stop(section, keys, "pos", is_text)
     stop, pos = F.col("stop_pos"), F.col("pos")
     in_address = ((pos % 2) == 0) & (stop.isNull() | (pos < stop))
     after_address = stop.isNotNull() & (pos > stop)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.lists import join_list
 from gleaner.operators.ordering import global_ordinal
+from gleaner.session import written
 
 
 def drop_failed(df: DataFrame, error_col: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -52,6 +53,8 @@ def with_rowid(df: DataFrame, order_cols, out_col: str = "rowid") -> DataFrame:
     return global_ordinal(df, order_cols, out_col)
 
 
+WON_COLUMNS = ("institution_code", "course_code", "course_name", "ects", "duration_unit", "duration_amount", "cnaef_code", "cnaef_name",
+               "degree", "education_type", "contest")
 ENTRY_INSTITUTION_REQUIRED = ("institution_code", "institution_name", "address", "phone_numbers", "email_addresses")
 
 
@@ -87,7 +90,8 @@ def build_catalogue(entries: DataFrame, optional: DataFrame, mandatory: DataFram
     if existing_facts is not None:
         stored = existing_facts.select(F.col("institution").alias("institution_code"), F.col("course").alias("course_code"))
         winners = winners.join(stored, ["institution_code", "course_code"], "left_anti")
-    won = with_ects.join(winners.select("page_id"), "page_id", "left_semi")
+    # nine tables read it
+    won = written(with_ects.select("page_id", *[c for c in order_cols if c != "page_id"], *WON_COLUMNS).join(winners.select("page_id"), "page_id", "left_semi"), "won")
 
     course_institution = won.select(
         F.col("ects").cast("int").alias("ects"),

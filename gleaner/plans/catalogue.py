@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from gleaner.operators.crawl import bodies_of, crawl, page_store, url_index, with_redirects
 from gleaner.operators.dom import (
     dom_nodes,
-    first_text,
+    first_texts,
     last_sections,
     parse_errors,
     section_headers,
     section_nodes,
-    take_tokens,
+    take_page_tokens,
     unknown_labels,
 )
 from gleaner.operators.fields import characteristics, contacts, unknown_fields
@@ -32,7 +32,7 @@ from gleaner.operators.normalise import build_catalogue
 from gleaner.operators.requirements import exam_requirements
 from gleaner.operators.views import expanded_course_institution
 from gleaner.presets import CrawlPreset, ExamPreset, FieldPreset, SectionPreset
-from gleaner.session import co_partition_by_prefix, cut_lineage, write_bucketed
+from gleaner.session import co_partition_by_prefix, write_bucketed, written
 from gleaner.sources.pages import course_url
 
 PARSED_SECTIONS = ("contacts", "characteristics", "exams")
@@ -65,7 +65,7 @@ def crawl_from_seed(pages: DataFrame, preset: CrawlPreset = CrawlPreset(), redir
     store = page_store(pages, index, buckets)
     if redirects is not None:
         index = with_redirects(index, redirects)
-    seeds = pages.sparkSession.createDataFrame([(preset.seed_url, preset.seed_state)], "url string, state string")
+    seeds = pages.sparkSession.range(1).select(F.lit(preset.seed_url).alias("url"), F.lit(preset.seed_state).alias("state"))
     return store, crawl(store, index, seeds, preset.transitions, preset.allowed_hosts)
 
 
@@ -98,24 +98,24 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     course_ids = course_pages.select("page_id")
     headers = section_headers(nodes, sections.header_path, sections.kinds).join(course_ids, "page_id", "left_semi")
     with co_partition_by_prefix(nodes.sparkSession):
-        secn = write_bucketed(section_nodes(last_sections(headers, PARSED_SECTIONS), nodes), "page_id", tag="sections")
+        secn = section_nodes(last_sections(headers, PARSED_SECTIONS), nodes)
+        # attributes are asked for of anchors only
+        secn = write_bucketed(secn.withColumn("attrs", F.when(F.col("name") == "a", F.col("attrs"))), "page_id", tag="sections")
 
     con = contacts(secn.filter(F.col("section") == "contacts"))
     chars = characteristics(secn.filter(F.col("section") == "characteristics"), fields)
     ex_sec = secn.filter(F.col("section") == "exams")
-    tokens = take_tokens(ex_sec, ["page_id", "header_id"], "pos", F.col("kind") == "text").select("page_id", "token_no", "text")
+    tokens = take_page_tokens(ex_sec, ["page_id", "header_id"], "pos", F.col("kind") == "text").select("page_id", "token_no", "text")
     optional, mandatory = exam_requirements(tokens, ["page_id"], "token_no", "text", mode, exams)
 
-    course_name = first_text(nodes, sections.course_name_path, "course_name").join(course_ids, "page_id", "left_semi")
-    institution_name = first_text(nodes, sections.institution_name_path, "institution_name").join(course_ids, "page_id", "left_semi")
+    names = first_texts(nodes, {"course_name": sections.course_name_path, "institution_name": sections.institution_name_path})
 
     seq = F.col("seq") if "seq" in course_pages.columns else F.col("page_id")
     entries = (
         course_pages.select("page_id", seq.cast("long").alias("seq"), "url")
         .join(con, "page_id", "left")
         .join(chars, "page_id", "left")
-        .join(course_name, "page_id", "left")
-        .join(institution_name, "page_id", "left")
+        .join(names, "page_id", "left")
     )
     failed = parse_errors(nodes)
     return {
@@ -144,13 +144,13 @@ def catalogue_from_pages(pages: DataFrame, selection: DataFrame | None = None, m
     nodes = page_nodes(bodies_of(store, course) if crawled is not None else store, buckets=buckets, in_buckets=True, counts=counts)
     # (page_id, seq, url) of the course pages: one small row per page, read four times below; a page that answers several
     # URLs is one entry, of the smallest
-    index = cut_lineage(course.groupBy("page_id").agg(F.min("seq").alias("seq"), F.min("url").alias("url")))
+    index = write_bucketed(course.groupBy("page_id").agg(F.min("seq").alias("seq"), F.min("url").alias("url")), "page_id", buckets, "course")
     with co_partition_by_prefix(pages.sparkSession):
         parsed = parse_entries(index, nodes, mode)
         # one row per page (+ its exam rows): the hand-off between parsing and loading; eleven
         # tables and their checks read it, so it is written once to the checkpoint folder
         for k in ("entries", "optional", "mandatory"):
-            parsed[k] = cut_lineage(parsed[k])
+            parsed[k] = written(parsed[k], k)
     tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"])
     return {
         "tables": tables,

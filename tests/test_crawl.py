@@ -105,6 +105,22 @@ def test_redirect_circles_end_with_the_longest_chain(spark):
     assert all(got[src] == (None, None) for src, _ in circles)
 
 
+def test_pages_without_a_way_on_are_not_parsed_for_links(spark):
+    """A page in a state that no transition leaves is not parsed for links, and only anchors leave the parse of the others."""
+    pages = _pages(spark, [(1, 1, "http://h.x/a", "<p>t<a href='b?to=1'>x</a>"), (2, 2, "http://h.x/b?to=1", "<a href='a?to=1'></a>")])
+    index = url_index(pages)
+    store = page_store(pages, index)
+    frontier = index.select("page_id", "base", F.when(F.col("page_id") == 1, "s").otherwise("t").alias("state"))
+    steps = [("s", ("to=1",), "t")]
+    links = followed_links(store, frontier, steps)
+    assert [tuple(r) for r in links.collect()] == [("http://h.x/b?to=1", "t")]
+    asked = [n for n in _plan(links).splitlines() if "state#" in n and "IN" in n.upper() or "state#" in n and " = s" in n]
+    assert asked, "the frontier is cut to the states of the transitions"
+    assert [r.name for r in dom_nodes(pages, only_tags=("a",)).collect()] == ["a", "a"]
+    whole = {(r.page_id, r.node_id): r for r in dom_nodes(pages).collect()}
+    assert all(whole[r.page_id, r.node_id] == r for r in dom_nodes(pages, only_tags=("a",)).collect())
+
+
 def test_links_resolve_on_the_response(spark):
     """The index page is asked for by one URL and answered by another folder's: its links are resolved there."""
     pages = _pages(spark, [(1, 1, "http://h.x/new/i?q", "<a href='b?to=1'></a>"), (2, 2, "http://h.x/new/b?to=1", ""), (3, 3, "http://h.x/old/b?to=1", "")])

@@ -236,3 +236,29 @@ def test_html_pre_leading_newline():
 
     t = parse_html("<pre>\nx\n</pre><div>\ny</div>", frozenset())
     assert [x for x, k in zip(t["text"], t["kind"]) if k == "text"] == ["x\n", "\ny"]
+
+
+def test_plain_markup_is_read_as_the_parser_reads_it():
+    """Whatever is read by the short way and whatever is left to the parser: the tree is the parser's own."""
+    import random
+
+    from gleaner.operators import htmltree
+
+    class Whole(htmltree._TreeBuilder):
+        def read(self, text):
+            self.feed(text)
+            self.close()
+
+    bits = ["<p>", "</p>", "<br>", "<br/>", "</br>", '<a href="x?a=1">', '<a href="x&amp;b=1">', "<a href=x b>", "</a>", "<A HREF='q'>", "a &amp; b", "&lt", "< c", "<", "&", "\n",
+            '<div class="x y" id="z">', '<div id="a>b">', "</div >", "</", "<!-- c -->", "<!-", "<script>", "if (a<b) {}</p>", "</script>", "<title>", "</title>", "<pre>", "<h2>", "</h2>",
+            "<textarea>", "</textarea>", "<li>", "<ul>", "<?x y?>", "<!doctype html>", "<![oops[x]]>", '<img src="a"', "é\u00a0", "\0", "<svg>", "<td>", "text", '<p class="a" class="b">', "<p  id=\"a\">"]
+    rng, plain = random.Random(7), htmltree._TreeBuilder
+    for _ in range(4000):
+        text = "".join(rng.choices(bits, k=rng.randrange(1, 14)))
+        fast = htmltree.parse_html(text, frozenset(["h2", "p"]))
+        htmltree._TreeBuilder = Whole
+        try:
+            whole = htmltree.parse_html(text, frozenset(["h2", "p"]))
+        finally:
+            htmltree._TreeBuilder = plain
+        assert fast == whole, text
