@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.operators.normalise import first_wins
-from gleaner.session import co_partition_by_prefix, cut_lineage, written
+from gleaner.session import co_partition_by_prefix, with_conf, written
 
 KEY_PARTS = 16
+TASKS_PER_PART = 8
 ALONE = "alone"  # rows that were inserted outside of a stream's batches
 
 
@@ -67,12 +68,18 @@ def stored_for(wanted: DataFrame, path: str, keys, schema, batch: str = ALONE, t
 
 
 def append_rows(rows: DataFrame, path: str, keys, batch: str = ALONE) -> None:
-    """Write ``rows`` into the parts of their keys; a named batch replaces what an earlier attempt of it has written."""
-    out = rows.withColumn("part", key_part(keys)).withColumn("batch", F.lit(batch)).repartition("part").write.partitionBy("part", "batch")
-    if batch == ALONE:
-        out.mode("append").parquet(path)
-    else:
-        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """Write ``rows`` into the parts of their keys; a named batch replaces what an earlier attempt of it has written.
+
+    Rows of a part go to up to ``TASKS_PER_PART`` tasks by their key, or one task of a few would write a large part alone; a task keeps the
+    files of its parts open, and so need not sort its rows by part."""
+    spread_by = F.pmod(F.hash(*[F.col(k).cast("string") for k in keys]), F.lit(TASKS_PER_PART))
+    rows = rows.withColumn("part", key_part(keys)).withColumn("batch", F.lit(batch))
+    out = rows.repartition(F.col("part"), spread_by).write.partitionBy("part", "batch")
+    with with_conf(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(KEY_PARTS)}):
+        if batch == ALONE:
+            out.mode("append").parquet(path)
+        else:
+            out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_new(t: DataFrame, path: str, keys, schema, batch: str = ALONE, touched: list[int] | None = None) -> None:
@@ -139,7 +146,7 @@ def load_batch(pages: DataFrame, target_root: str, batch: str, mode: str = "inte
     with co_partition_by_prefix(pages.sparkSession):
         parsed = parse_entries(pages, nodes, mode)
         for k in ("entries", "optional", "mandatory"):
-            parsed[k] = cut_lineage(parsed[k])
+            parsed[k] = written(parsed[k], k)
     pairs = parsed["entries"].select(F.col("institution_code").alias("institution"), F.col("course_code").alias("course"))
     stored = stored_for(pairs, f"{target_root}/course_institution", ["institution", "course"], CATALOGUE_SCHEMAS["course_institution"], batch)
     tables = build_catalogue(parsed["entries"], parsed["optional"], parsed["mandatory"], existing_facts=stored)
@@ -235,7 +242,7 @@ def advance_frontier(new: DataFrame, target_root: str, batch: str, preset) -> Da
 
     spark = new.sparkSession
     transitions = list(preset.transitions)
-    anchors = select_links_of(dom_nodes(new, inner_html_tags=()), [c for _, c, _ in transitions])
+    anchors = select_links_of(dom_nodes(new, inner_html_tags=(), only_tags=("a",)), [c for _, c, _ in transitions])
     states = F.explode(F.array(*[F.lit(s) for s in dict.fromkeys(t[0] for t in transitions)])).alias("src_state")
     links = anchors.join(new.select("page_id", F.col("url").alias("src")), "page_id").select("src", "href", states)
     links = links.select("src", "src_state", "href", F.explode(next_states(F.col("src_state"), F.col("href"), transitions)).alias("state"))

@@ -68,3 +68,20 @@ def test_batch_retry_after_partial_write(spark, scratch, monkeypatch):
     assert t["course_institution"] == [(180, "1000", "1"), (180, "1000", "2")]
     assert t["durations"] == [("1000", "1", "Semestres", 6), ("1000", "2", "Semestres", 6)]
     assert len(t["institutions"]) == 1 and t["exams"] == [("07", "Física e Química")]
+
+
+def test_a_large_part_is_written_by_several_tasks(spark, scratch):
+    """One part's rows do not wait for one task: they leave several files, and a replayed batch still replaces its own rows."""
+    from pyspark.sql import functions as F
+
+    from gleaner.session import with_conf
+    from gleaner.streaming.ingest import append_rows, key_part
+
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("k")).filter(key_part(["k"]) == 3)
+    n = rows.count()
+    with with_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        for _ in range(2):
+            append_rows(rows, f"{scratch}/t", ["k"], "b0")
+    back = spark.read.parquet(f"{scratch}/t")
+    assert back.count() == n and len(back.inputFiles()) > 1
+    assert [r.part for r in back.select("part").distinct().collect()] == [3]
