@@ -265,32 +265,11 @@ def first_text(nodes: DataFrame, steps, alias: str = "value") -> DataFrame:
     kids = nodes.filter(F.col("sib_no") == 0).select(
         F.col("page_id").alias("_kp"), F.col("parent_id").alias("_kparent"), "kind", "text"
     )
-    j = first.join(kids, (first["page_id"] == kids["_kp"]) & (first["_first"] == kids["_kparent"]), "left")
+    # the few first matches are what is kept in memory, so the nodes need no sort
+    j = first.hint("shuffle_hash").join(kids, (first["page_id"] == kids["_kp"]) & (first["_first"] == kids["_kparent"]), "left")
     return j.select("page_id", F.when(F.col("kind") == "text", F.col("text")).alias(alias))
 
 
-def first_texts(nodes: DataFrame, paths: dict) -> DataFrame:
-    """DOM3 for several paths ``{alias: steps}`` at once: one row for each page that matches any of them.  Nodes that carry their ancestors
-    are read once for all first matches and once for the texts below them."""
-    paths = {alias: list(steps) for alias, steps in paths.items()}
-    if not all(_chain_tells(nodes, steps) for steps in paths.values()):
-        out = None
-        for alias, steps in paths.items():
-            one = first_text(nodes, steps, alias)
-            out = one if out is None else out.join(one, "page_id", "full")
-        return out
-    matches = {alias: path_match(steps) for alias, steps in paths.items()}
-    any_match = F.lit(False)
-    for m in matches.values():
-        any_match = any_match | m
-    firsts = nodes.filter(any_match).groupBy("page_id").agg(*[F.min(F.when(m, F.col("node_id"))).alias("_first_" + a) for a, m in matches.items()])
-    kids = nodes.filter((F.col("sib_no") == 0) & (F.col("kind") == "text")).select(F.col("page_id").alias("_kp"), F.col("parent_id").alias("_kparent"), "text")
-    below = kids["_kparent"].isin(*[firsts["_first_" + a] for a in matches])
-    j = firsts.hint("shuffle_hash").join(kids, (firsts["page_id"] == kids["_kp"]) & below, "left")
-    # a node has one first child, so there is one text at most
-    return j.groupBy("page_id").agg(*[F.max(F.when(F.col("_kparent") == F.col("_first_" + a), F.col("text"))).alias(a) for a in matches])
-
-
 def label_kind(label: Column, kinds: dict, unknown: str = "unknown") -> Column:
     """DOM4 dispatch: exact-text lookup of a label in a literal map, else ``unknown``."""
     lookup = F.create_map(*[x for k, v in kinds.items() for x in (F.lit(k), F.lit(v))])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gleaner.operators.crawl import bodies_of, crawl, page_store, url_index, with_redirects
 from gleaner.operators.dom import (
     dom_nodes,
-    first_texts,
+    first_text,
     last_sections,
     parse_errors,
     section_headers,
@@ -108,14 +108,16 @@ def parse_entries(course_pages: DataFrame, nodes: DataFrame, mode: str = "intend
     tokens = take_page_tokens(ex_sec, ["page_id", "header_id"], "pos", F.col("kind") == "text").select("page_id", "token_no", "text")
     optional, mandatory = exam_requirements(tokens, ["page_id"], "token_no", "text", mode, exams)
 
-    names = first_texts(nodes, {"course_name": sections.course_name_path, "institution_name": sections.institution_name_path})
+    course_name = first_text(nodes, sections.course_name_path, "course_name")
+    institution_name = first_text(nodes, sections.institution_name_path, "institution_name")
 
     seq = F.col("seq") if "seq" in course_pages.columns else F.col("page_id")
     entries = (
         course_pages.select("page_id", seq.cast("long").alias("seq"), "url")
         .join(con, "page_id", "left")
         .join(chars, "page_id", "left")
-        .join(names, "page_id", "left")
+        .join(course_name, "page_id", "left")
+        .join(institution_name, "page_id", "left")
     )
     failed = parse_errors(nodes)
     return {
