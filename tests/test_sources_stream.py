@@ -180,3 +180,43 @@ def test_raw_files_are_opened_once(spark, scratch):
     rows = back.collect()
     assert sorted(r.seq for r in rows) == list(range(1, 301))
     assert sorted(bytes(r.body).decode() for r in rows) == sorted(f"page {i}\n" for i in range(300))
+
+
+def test_raw_pages_are_written_without_a_process_a_file(spark, scratch):
+    """Every page is a file of its own in the folder of its key, written by the tasks themselves; no checksum files, nothing left over."""
+    import os
+
+    from gleaner.sources.pages import read_pages, write_raw_pages
+
+    rows = [(1, "a\nb"), (2, ""), (3, None), (4, "café €"), (None, "no key"), (-5, "x" * 100_000)] + [(i, f"page {i}") for i in range(10, 60)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(4)
+    root = f"file://{scratch}/raw"
+    write_raw_pages(pages, root, "page_id", "html", "p")
+    files = sorted(os.path.relpath(os.path.join(d, f), f"{scratch}/raw") for d, _, fs in os.walk(f"{scratch}/raw") for f in fs)
+    assert len(files) == len(rows) and not [f for f in files if ".crc" in f or "/." in f]
+    back = {r.url: bytes(r.body) for r in read_pages(spark, root, "binaryFile", "http://h.x/").collect()}
+    want = {"__HIVE_DEFAULT_PARTITION__" if k is None else str(k): ((t or "") + "\n").encode() for k, t in rows}
+    assert {u.split("/p=")[1].split("/")[0]: b for u, b in back.items()} == want
+    # as Spark's own writer names and fills them
+    pages.selectExpr("page_id as p", "html as value").write.partitionBy("p").text(f"{scratch}/spark")
+    plain = {r.url.split("/p=")[1].split("/")[0]: bytes(r.body) for r in read_pages(spark, f"file://{scratch}/spark", "binaryFile", "http://h.x/").collect()}
+    assert plain == want
+    # a repeated attempt writes the same names
+    write_raw_pages(pages, root, "page_id", "html", "p")
+    assert files == sorted(os.path.relpath(os.path.join(d, f), f"{scratch}/raw") for d, _, fs in os.walk(f"{scratch}/raw") for f in fs)
+
+
+def test_raw_pages_of_one_key_and_odd_keys(spark, scratch):
+    from gleaner.sources.pages import read_pages, write_raw_pages
+
+    rows = [("a/b=c%", "1"), ("a/b=c%", "2"), ("", "3"), ("é +", "4")]
+    write_raw_pages(spark.createDataFrame(rows, "k string, t string").coalesce(1), f"file://{scratch}/raw", "k", "t", "p")
+    back = {r.url: bytes(r.body) for r in read_pages(spark, f"file://{scratch}/raw", "binaryFile", "").collect()}
+    assert sorted(back.values()) == [b"1\n2\n", b"3\n", b"4\n"] and len(back) == 3
+
+
+def test_raw_pages_of_no_rows(spark, scratch):
+    from gleaner.sources.pages import read_pages, write_raw_pages
+
+    write_raw_pages(spark.createDataFrame([], "page_id long, html string"), f"file://{scratch}/raw", "page_id", "html", "p")
+    assert read_pages(spark, f"file://{scratch}/raw", "binaryFile", "").count() == 0
